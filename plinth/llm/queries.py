@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from plinth.llm.licences import OP9_SQL, op9_licence_scan
 from plinth.llm.packing import op3_packing
+from plinth.llm.quality import OP6_SQL, op6_quality_rules
+from plinth.llm.sharding import op10_sharding
 from plinth.llm.token_output import op5_token_output
 
 QUERIES = {
     "op3_packing": op3_packing,
     "op5_token_output": op5_token_output,
+    "op6_quality_rules": op6_quality_rules,
+    "op9_licence_scan": op9_licence_scan,
+    "op10_sharding": op10_sharding,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op6_quality_rules": OP6_SQL, "op9_licence_scan": OP9_SQL}
