@@ -60,11 +60,11 @@ def anchors(grams: np.ndarray, first: np.ndarray, last: np.ndarray, width: int)
     return np.flatnonzero(sliding_max(np.concatenate([fence, least, fence]), width) == grams)
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, text, key (64-bit hash of the text), and of its copies: least_id, copies."""
+def keyed(docs: DataFrame, carry: list[str] = ()) -> DataFrame:
+    """doc_id, text, key (64-bit hash of the text), and of its copies: least_id, copies; and docs' columns ``carry`` as one struct."""
     parts = partitions(docs.sparkSession)
     text = null_safe_text()
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("key", F.xxhash64("text")).repartition(parts, "key")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), *([F.struct(*carry).alias("carried")] if carry else [])).withColumn("key", F.xxhash64("text")).repartition(parts, "key")
     groups = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("key")).groupBy("key").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("copies"))
     return rows.join(groups.hint("shuffle_hash"), "key", "left")
 

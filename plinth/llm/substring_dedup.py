@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plinth.llm import repeats
 from plinth.llm.common import mix, ragged, runs, table, word_spans
@@ -122,7 +123,7 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text, copy, spans) -> (doc_id, n_words, n_removed, kept_sha256, kept_text)."""
+    """(doc_id, text, copy, spans, what is carried) -> (what is carried, doc_id, n_words, n_removed, kept_sha256, kept_text)."""
     for batch, data, offsets in runs(batches):
         rows = []
         for k, (copy, spans) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
@@ -137,15 +138,19 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text = b" ".join(kept)
             rows.append((len(words), gone, hashlib.sha256(text).hexdigest(), text.decode("utf-8", "replace")))
         a, b, c, d = zip(*rows, strict=True) if rows else ((), (), (), ())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.string()), pa.array(d, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[4:], batch.column(0), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.string()), pa.array(d, pa.string())], names=[*batch.schema.names[4:], "doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
 
 
-def remove_repeated_words(docs: DataFrame) -> DataFrame:
-    """Per row of docs: doc_id, n_words, n_removed, kept_sha256, kept_text."""
-    rows = repeats.keyed(docs)
+def remove_repeated_words(docs: DataFrame, carry: list[str] = ()) -> DataFrame:
+    """Per row of docs: doc_id, n_words, n_removed, kept_sha256, kept_text; with docs' columns ``carry``, which win over clashing names."""
+    rows = repeats.keyed(docs, carry)
     spans = repeats.spread(repeats.distinct_texts(rows), word_marks, word_surround, _find, once_per_text=True)
-    joined = rows.join(spans.hint("shuffle_hash"), "key", "left").select("doc_id", "text", (~F.col("doc_id").eqNullSafe(F.col("least_id"))).alias("copy"), "spans")
-    return joined.mapInArrow(_cut, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+    columns = ["doc_id", "text", (~F.col("doc_id").eqNullSafe(F.col("least_id"))).alias("copy"), "spans", *(["carried"] if carry else [])]
+    joined = rows.join(spans.hint("shuffle_hash"), "key", "left").select(*columns)
+    made = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
+    carried = [joined.schema["carried"]] if carry else []
+    out = joined.mapInArrow(_cut, T.StructType(carried + T.StructType.fromDDL(made).fields))
+    return out.select("carried.*", *(c.split()[0] for c in made.split(", ") if c.split()[0] not in carry)) if carry else out
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
