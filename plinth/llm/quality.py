@@ -47,15 +47,17 @@ def _covered(pairs: Column) -> Column:
 def base_measures(docs: DataFrame) -> DataFrame:
     """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed."""
     text = null_safe_text()
-    words = docs.withColumn("_hashes", F.transform(words_of(text), lambda w: F.xxhash64(w)))
-    grams = words.withColumn("_windows", F.when(F.size("_hashes") >= WINDOW, F.transform(F.sequence(F.lit(1), F.size("_hashes") - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("_hashes", i, F.lit(WINDOW))))).otherwise(F.array().cast("array<bigint>")))
+    # exploding an array of one keeps the optimizer from moving filters below, and so repeating, what they are made from
+    words = docs.select("*", F.explode(F.array(F.transform(words_of(text), lambda w: F.xxhash64(w)))).alias("_hashes"))
+    windows = (F.when(F.size("_hashes") >= WINDOW, F.transform(F.sequence(F.lit(1), F.size("_hashes") - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("_hashes", i, F.lit(WINDOW))))).otherwise(F.array().cast("array<bigint>")))
+    grams = words.select("*", F.explode(F.array(windows)).alias("_windows"))
     lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, SPACES, "")) > 0)
     out = (
-        grams.withColumn("n_words", F.size("_hashes").cast("long"))
+        grams.drop(*MEASURES).withColumn("n_words", F.size("_hashes").cast("long"))
         .withColumn("word_chars", F.length(F.translate(text, SPACES, "")).cast("long"))
         .withColumn("n_symbols", (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"))
         .withColumn("n_dup_lines", F.aggregate(F.array(lines), F.lit(0), lambda a, x: a + F.size(x) - F.size(F.array_distinct(x))).cast("long"))
-        .withColumn("n_repeat_words", _repeat_words("_windows").cast("long"))
+        .select("*", F.explode(F.array(_repeat_words("_windows").cast("long"))).alias("n_repeat_words"))
     )
     failed = (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30)
     return out.withColumn("base_failed", failed).drop("_hashes", "_windows")
