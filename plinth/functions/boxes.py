@@ -1,0 +1,70 @@
+"""Exact Column kernels for points, rectangles, and rectangles with a notch open at the top.
+
+A footprint is a struct of x0, y0, x1, y1 and notch; a notched one lacks [x0+2, x0+6] x [y0+2, y1]. These stay in generated code;
+plinth.functions.geometry has the kernels for any polygon.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def overlap(a0: Column, a1: Column, b0: Column, b1: Column) -> Column:
+    return F.greatest(F.lit(0.0), F.least(a1, b1) - F.greatest(a0, b0))
+
+
+def bbox_overlaps(a: str, b: str) -> Column:
+    """Closed bounding boxes meet; a and b are prefixes of x0, y0, x1, y1."""
+    c = F.col
+    return (c(f"{a}x0") <= c(f"{b}x1")) & (c(f"{a}x1") >= c(f"{b}x0")) & (c(f"{a}y0") <= c(f"{b}y1")) & (c(f"{a}y1") >= c(f"{b}y0"))
+
+
+def area(p: str = "", notch: bool = True) -> Column:
+    x0, y0, x1, y1 = (F.col(f"{p}{k}") for k in ("x0", "y0", "x1", "y1"))
+    full = (x1 - x0) * (y1 - y0)
+    return full - F.when(F.col(f"{p}notch"), (y1 - y0 - 2.0) * 4.0).otherwise(0.0) if notch else full
+
+
+def intersection_area(o: str, f: str) -> Column:
+    """Of a footprint that may be notched (prefix o) and one that isn't (prefix f)."""
+    c = F.col
+    full = overlap(c(f"{o}x0"), c(f"{o}x1"), c(f"{f}x0"), c(f"{f}x1")) * overlap(c(f"{o}y0"), c(f"{o}y1"), c(f"{f}y0"), c(f"{f}y1"))
+    gap = overlap(c(f"{o}x0") + 2.0, c(f"{o}x0") + 6.0, c(f"{f}x0"), c(f"{f}x1")) * overlap(c(f"{o}y0") + 2.0, c(f"{o}y1"), c(f"{f}y0"), c(f"{f}y1"))
+    return full - F.when(c(f"{o}notch"), gap).otherwise(0.0)
+
+
+def iou(o: str, f: str) -> Column:
+    both = intersection_area(o, f)
+    return F.try_divide(both, F.nullif(area(o) + area(f, notch=False) - both, F.lit(0.0)))
+
+
+def in_hull(x: Column, y: Column, p: str) -> Column:
+    """Strictly inside the convex hull, which is the rectangle."""
+    c = F.col
+    return (x > c(f"{p}x0")) & (x < c(f"{p}x1")) & (y > c(f"{p}y0")) & (y < c(f"{p}y1"))
+
+
+def within(x: Column, y: Column, p: str) -> Column:
+    c = F.col
+    gap = c(f"{p}notch") & (x >= c(f"{p}x0") + 2.0) & (x <= c(f"{p}x0") + 6.0) & (y >= c(f"{p}y0") + 2.0)
+    return in_hull(x, y, p) & ~gap
+
+
+def _to_rectangle(x: Column, y: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    dx, dy = F.greatest(x0 - x, F.lit(0.0), x - x1), F.greatest(y0 - y, F.lit(0.0), y - y1)
+    return F.sqrt(dx * dx + dy * dy)
+
+
+def distance(x: Column, y: Column, p: str) -> Column:
+    x0, y0, x1, y1 = (F.col(f"{p}{k}") for k in ("x0", "y0", "x1", "y1"))
+    parts = F.least(_to_rectangle(x, y, x0, y0, x1, y0 + 2.0), _to_rectangle(x, y, x0, y0, x0 + 2.0, y1), _to_rectangle(x, y, x0 + 6.0, y0, x1, y1))
+    return F.when(F.col(f"{p}notch"), parts).otherwise(_to_rectangle(x, y, x0, y0, x1, y1))
+
+
+def _number(x: Column) -> Column:
+    return F.regexp_replace(x.cast("string"), r"\.0$", "")
+
+
+def point_wkt(x: Column, y: Column) -> Column:
+    return F.concat(F.lit("POINT ("), _number(x), F.lit(" "), _number(y), F.lit(")"))

@@ -2,5 +2,224 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from plinth.functions import boxes, scoring
+from plinth.operators import bridges, gold
+from plinth.plans import fixture as fx
+from plinth.plans.fixture import CTE, class_sql
+from plinth.sources import discovery
+
+AOI = (40.0, 0.0, 400.0, 48.0)
+
+
+def _bridge(spark: SparkSession, d: str) -> DataFrame:
+    return bridges.fema_bridge(fx.overture(spark, d), fx.fema(spark, d))
+
+
+def _nsi(spark: SparkSession, d: str) -> DataFrame:
+    return bridges.nsi_bridge(fx.points(spark, d), fx.overture(spark, d))
+
+
+def _nsi_fema(spark: SparkSession, d: str) -> DataFrame:
+    return bridges.nsi_fema_bridge(fx.points(spark, d), fx.fema(spark, d))
+
+
+def _unmatched(spark: SparkSession, d: str) -> DataFrame:
+    return bridges.nsi_unmatched(fx.points(spark, d), _nsi(spark, d))
+
+
+def gold_buildings(spark: SparkSession, d: str) -> DataFrame:
+    o, f = fx.overture(spark, d), fx.fema(spark, d)
+    resolved = gold.resolve(o, _bridge(spark, d), f)
+    scored = gold.score(gold.enrich(resolved, _nsi(spark, d), _nsi_fema(spark, d)))
+    none = F.lit(None).cast("string")
+    return gold.with_geometry(scored, o, f, ["x0", "y0", "x1", "y1"]).withColumns({"osm_id": none, "osm_type": none})
+
+
+def _resolved(spark: SparkSession, d: str) -> DataFrame:
+    return gold.full_outer(fx.overture(spark, d), _bridge(spark, d), fx.fema(spark, d))
+
+
+def bbox_filter(spark: SparkSession, d: str) -> DataFrame:
+    x0, y0, x1, y1 = AOI
+    return fx.overture(spark, d).filter((F.col("x0") <= x1) & (F.col("x1") >= x0) & (F.col("y0") <= y1) & (F.col("y1") >= y0)).select("overture_id", "x0", "y0", "x1", "y1")
+
+
+def envelope_points(spark: SparkSession, d: str) -> DataFrame:
+    x0, y0, x1, y1 = AOI
+    return fx.points(spark, d).filter(F.col("px").between(x0, x1) & F.col("py").between(y0, y1)).select("nsi_id", "px", "py")
+
+
+def iou_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return bridges.iou_pairs(fx.overture(spark, d), fx.fema(spark, d)).select(F.col("o_overture_id").alias("overture_id"), F.col("f_fema_id").alias("fema_id"), "iou")
+
+
+def iou_threshold(spark: SparkSession, d: str) -> DataFrame:
+    return bridges.fema_candidates(fx.overture(spark, d), fx.fema(spark, d))
+
+
+def many_to_one(spark: SparkSession, d: str) -> DataFrame:
+    return _bridge(spark, d).groupBy("overture_id").agg(F.count("fema_id").alias("fema_match_count"))
+
+
+def _pass(step: int):
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        found = bridges.nsi_candidates(fx.points(spark, d), fx.overture(spark, d), 2.0).filter(F.col("pass") == step)
+        best = bridges.best_per(found, ["nsi_id"], [F.asc_nulls_last("metric"), F.asc("o_overture_id")])
+        return best.select("nsi_id", F.col("o_overture_id").alias("overture_id"), "metric")
+
+    return query
+
+
+def _pass_sql(step: int) -> str:
+    metric = "near" if step == 3 else "a"
+    return CTE + f"SELECT nsi_id, overture_id, {metric} AS metric FROM (SELECT *, row_number() OVER (PARTITION BY nsi_id ORDER BY {metric} NULLS LAST, overture_id) AS r FROM np WHERE pass = {step}) WHERE r = 1"
+
+
+def confidence_scores(spark: SparkSession, d: str) -> DataFrame:
+    return gold_buildings(spark, d).select("building_id", "conflation_confidence")
+
+
+def confidence_summary(spark: SparkSession, d: str) -> DataFrame:
+    return scoring.confidence_summary(gold.score(gold.enrich(gold.resolve(fx.overture(spark, d), _bridge(spark, d), fx.fema(spark, d)), None, None)))
+
+
+def occupancy_crosswalk(spark: SparkSession, d: str) -> DataFrame:
+    return fx.points(spark, d).select("nsi_id", "occtype", scoring.occupancy_class(F.lower("occtype")).alias("occupancy"))
+
+
+def occupancy_conflate(spark: SparkSession, d: str) -> DataFrame:
+    return gold_buildings(spark, d).select("building_id", "general_occupancy", "occupancy_confidence")
+
+
+def risk_flag(spark: SparkSession, d: str) -> DataFrame:
+    b, f = _nsi(spark, d).select("nsi_id", F.lit(True).alias("o")), _nsi_fema(spark, d).select("nsi_id", F.lit(True).alias("f"))
+    j = fx.points(spark, d).select("nsi_id").join(b, "nsi_id", "left").join(f, "nsi_id", "left")
+    return j.select("nsi_id", scoring.structure_risk(F.lit(True), F.coalesce("o", F.lit(False)), F.coalesce("f", F.lit(False))).alias("nsi_risk"))
+
+
+def osm_sources(spark: SparkSession, d: str) -> DataFrame:
+    o = fx.overture(spark, d).withColumn("osm_sources", F.filter("sources", lambda s: s["dataset"] == "OpenStreetMap"))
+    return o.filter(F.size("osm_sources") > 0).select("overture_id", F.size("osm_sources").cast("long").alias("n_osm"), F.col("osm_sources")[0]["record_id"].alias("record_id"))
+
+
+def concat_states(spark: SparkSession, d: str) -> DataFrame:
+    f = fx.fema(spark, d)
+    return f.filter("x0 < 400").select("fema_id", "occ_cls").unionByName(f.filter("x0 >= 400").select("fema_id", "y0"), allowMissingColumns=True)
+
+
+def surrogate_ids(spark: SparkSession, d: str) -> DataFrame:
+    from plinth.operators.ranking import surrogate_id
+
+    return surrogate_id(fx.fema(spark, d).select(F.col("fema_id").alias("source_id")), "fema_id", ["source_id"])
+
+
+def replace_column(spark: SparkSession, d: str) -> DataFrame:
+    return fx.points(spark, d).withColumn("occtype", F.coalesce(F.upper("occtype"), F.lit("NONE"))).select("nsi_id", "occtype")
+
+
+def match_rates(spark: SparkSession, d: str) -> DataFrame:
+    n = _nsi(spark, d).groupBy("match_method").agg(F.count("*").alias("n"))
+    total = fx.points(spark, d).agg(F.count("*").alias("total"))  # one row
+    return n.crossJoin(F.broadcast(total)).select("match_method", "n", (F.col("n") / F.col("total") * 100).alias("pct"))
+
+
+def occupancy_view(spark: SparkSession, d: str) -> DataFrame:
+    return gold_buildings(spark, d).filter(F.col("general_occupancy").isin("Residential", "Education")).select("building_id", "general_occupancy")
+
+
+def geometry_rank(spark: SparkSession, d: str) -> DataFrame:
+    kinds = F.array(F.lit("Point"), F.lit("LineString"), F.lit("Polygon"), F.lit("MultiPolygon"))
+    ov = fx.overture(spark, d).select("overture_id", kinds[(F.length("overture_id") % 4).cast("int")].alias("a"), kinds[F.ascii(F.substring("overture_id", -1, 1)) % 4].alias("b"))
+    rank = lambda c: F.coalesce(F.element_at(F.create_map(*(x for k, v in (("Point", 1), ("LineString", 2), ("Polygon", 3), ("MultiPolygon", 4)) for x in (F.lit(k), F.lit(v)))), c), F.lit(1))
+    return ov.select("overture_id", F.when(rank(F.col("b")) > rank(F.col("a")), F.col("b")).otherwise(F.col("a")).alias("picked"))
+
+
+def attributes_in_bounds(spark: SparkSession, d: str) -> DataFrame:
+    o = fx.overture(spark, d)
+    return o.select("overture_id", boxes.area().alias("area"), ((F.col("x0") + F.col("x1")) / 2).alias("cx"), ((F.col("y0") + F.col("y1")) / 2).alias("cy"))
+
+
+QUERIES = {
+    "gold_buildings": gold_buildings,
+    "bbox_struct_filter": bbox_filter,
+    "aoi_envelope_filter": envelope_points,
+    "area_centroid": attributes_in_bounds,
+    "iou_pairs": iou_pairs,
+    "iou_threshold": iou_threshold,
+    "fema_bridge_best": _bridge,
+    "fema_bridge_many_to_one": many_to_one,
+    "pip_smallest_area": _pass(1),
+    "hull_pip": _pass(2),
+    "nearest_within_buffer": _pass(3),
+    "nsi_bridge_single_pass": _nsi,
+    "nsi_bridge_three_pass": lambda s, d: bridges.nsi_bridge_three_pass(fx.points(s, d), fx.overture(s, d)),
+    "nsi_unmatched": _unmatched,
+    "nsi_review": lambda s, d: bridges.nsi_review(_unmatched(s, d), _nsi_fema(s, d)),
+    "nsi_fema_bridge": _nsi_fema,
+    "full_outer_resolve": _resolved,
+    "gold_collapse_best_fema": lambda s, d: gold.collapse(_resolved(s, d)),
+    "nsi_primary_per_building": lambda s, d: gold.primary_values(_nsi(s, d), "overture_id").select("overture_id", "nsi_id", "nsi_occtype"),
+    "nsi_value_rollup": lambda s, d: gold.primary_values(_nsi(s, d), "overture_id").drop("nsi_id", "nsi_occtype"),
+    "nsi_fill_fema_only": lambda s, d: gold_buildings(s, d).filter("source = 'fema_only' AND has_nsi_match").select("building_id", "nsi_id", "nsi_val_struct", "nsi_val_cont", "nsi_point_count"),
+    "geometry_priority": lambda s, d: gold_buildings(s, d).select("building_id", "x0", "y0", "x1", "y1"),
+    "geometry_rank_pick": geometry_rank,
+    "confidence_score": confidence_scores,
+    "confidence_summary": confidence_summary,
+    "occupancy_crosswalk": occupancy_crosswalk,
+    "occupancy_conflate": occupancy_conflate,
+    "nsi_risk_flag": risk_flag,
+    "osm_source_filter": osm_sources,
+    "concat_states_missing_cols": concat_states,
+    "surrogate_id": surrogate_ids,
+    "replace_column": replace_column,
+    "match_rate_diagnostics": match_rates,
+    "occupancy_view_filter": occupancy_view,
+    "release_latest": discovery.latest_query,
+    "index_scrape": discovery.index_query,
+}
+
+_BOX = "x0 <= 400 AND x1 >= 40 AND y0 <= 48 AND y1 >= 0"
+
+_RANK = "CASE {} WHEN 'LineString' THEN 2 WHEN 'Polygon' THEN 3 WHEN 'MultiPolygon' THEN 4 ELSE 1 END"
+
+SQL: dict[str, str] = {
+    "gold_buildings": CTE + "SELECT * FROM gb",
+    "bbox_struct_filter": CTE + f"SELECT overture_id, x0, y0, x1, y1 FROM ov WHERE {_BOX}",
+    "aoi_envelope_filter": CTE + "SELECT nsi_id, px, py FROM ns WHERE px BETWEEN 40 AND 400 AND py BETWEEN 0 AND 48",
+    "area_centroid": CTE + "SELECT overture_id, a AS area, (x0 + x1) / 2 AS cx, (y0 + y1) / 2 AS cy FROM ov",
+    "iou_pairs": CTE + "SELECT overture_id, fema_id, iou FROM iou",
+    "iou_threshold": CTE + f"SELECT fema_id, overture_id, iou, {fx.wkt('mx', 'my')} AS fema_centroid_wkt FROM iou WHERE iou >= CAST(0.1 AS DOUBLE)",
+    "fema_bridge_best": CTE + "SELECT * FROM fb",
+    "fema_bridge_many_to_one": CTE + "SELECT overture_id, count(fema_id) AS fema_match_count FROM fb GROUP BY overture_id",
+    "pip_smallest_area": _pass_sql(1),
+    "hull_pip": _pass_sql(2),
+    "nearest_within_buffer": _pass_sql(3),
+    "nsi_bridge_single_pass": CTE + "SELECT * FROM nb",
+    "nsi_bridge_three_pass": CTE + "SELECT * FROM nb",
+    "nsi_unmatched": CTE + "SELECT * FROM nu",
+    "nsi_review": CTE + "SELECT nu.* FROM nu ANTI JOIN nf USING (nsi_id)",
+    "nsi_fema_bridge": CTE + "SELECT * FROM nf",
+    "full_outer_resolve": CTE + "SELECT * FROM rs",
+    "gold_collapse_best_fema": CTE + "SELECT * FROM gc",
+    "nsi_primary_per_building": CTE + "SELECT overture_id, nsi_id, occtype AS nsi_occtype FROM vo JOIN ns USING (nsi_id)",
+    "nsi_value_rollup": CTE + "SELECT overture_id, nsi_val_struct, nsi_val_cont, nsi_point_count FROM vo",
+    "nsi_fill_fema_only": CTE + "SELECT building_id, nsi_id, nsi_val_struct, nsi_val_cont, nsi_point_count FROM gb WHERE source = 'fema_only' AND has_nsi_match",
+    "geometry_priority": CTE + "SELECT building_id, x0, y0, x1, y1 FROM gb",
+    "geometry_rank_pick": CTE + f"SELECT overture_id, CASE WHEN {_RANK.format('b')} > {_RANK.format('a')} THEN b ELSE a END AS picked FROM (SELECT overture_id, (['Point', 'LineString', 'Polygon', 'MultiPolygon'])[length(overture_id) % 4 + 1] AS a, (['Point', 'LineString', 'Polygon', 'MultiPolygon'])[ascii(right(overture_id, 1)) % 4 + 1] AS b FROM ov)",
+    "confidence_score": CTE + "SELECT building_id, conflation_confidence FROM gb",
+    "confidence_summary": CTE + "SELECT total, high, medium, low, " + ", ".join(f"CASE WHEN total > 0 THEN floor({c} * 1000.0::DOUBLE / total + 0.5) / 10.0 ELSE 0.0::DOUBLE END AS {c}_pct" for c in ("high", "medium", "low")) + " FROM (SELECT count(*) AS total, count(*) FILTER (conflation_confidence = 1.0) AS high, count(*) FILTER (conflation_confidence = 0.6::DOUBLE) AS medium, count(*) FILTER (conflation_confidence = 0.3::DOUBLE) AS low FROM gb)",
+    "occupancy_crosswalk": CTE + f"SELECT nsi_id, occtype, {class_sql('occtype')} AS occupancy FROM ns",
+    "occupancy_conflate": CTE + "SELECT building_id, general_occupancy, occupancy_confidence FROM gb",
+    "nsi_risk_flag": CTE + "SELECT nsi_id, nb.nsi_id IS NULL AND nf.nsi_id IS NULL AS nsi_risk FROM ns LEFT JOIN nb USING (nsi_id) LEFT JOIN nf USING (nsi_id)",
+    "osm_source_filter": CTE + "SELECT overture_id, 1::BIGINT AS n_osm, k::VARCHAR AS record_id FROM ov WHERE k % 3 = 0",
+    "concat_states_missing_cols": CTE + "SELECT fema_id, occ_cls FROM fe WHERE x0 < 400 UNION ALL BY NAME SELECT fema_id, y0 FROM fe WHERE x0 >= 400",
+    "surrogate_id": CTE + "SELECT fema_id AS source_id, row_number() OVER (ORDER BY fema_id) - 1 AS fema_id FROM fe",
+    "replace_column": CTE + "SELECT nsi_id, coalesce(upper(occtype), 'NONE') AS occtype FROM ns",
+    "match_rate_diagnostics": CTE + "SELECT match_method, count(*) AS n, count(*)::DOUBLE / (SELECT count(*) FROM ns) * 100 AS pct FROM nb GROUP BY match_method",
+    "occupancy_view_filter": CTE + "SELECT building_id, general_occupancy FROM gb WHERE general_occupancy IN ('Residential', 'Education')",
+    "release_latest": discovery.LATEST_SQL,
+    "index_scrape": discovery.INDEX_SQL,
+}
