@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -12,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Texts are handled in runs of about so many bytes, which bounds a Python worker's temporary arrays.
-RUN_BYTES = 2 << 20
+RUN_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +65,13 @@ def texts(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def release() -> None:
+    """Give freed memory back to the system: Python workers live on between stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def runs(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = RUN_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Batches cut so that each has at most ``limit`` bytes of text, or one row: (batch, bytes, offsets)."""
     for batch in batches:
@@ -72,6 +81,7 @@ def runs(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = RUN
             hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + limit, "right")) - 1)
             yield batch.slice(lo, hi - lo), data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
             lo = hi
+    release()
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -31,7 +31,7 @@ _POWERS = {1: np.ones(1, np.uint64)}
 def powers(n: int, base: int = BASE) -> np.ndarray:
     have = _POWERS.get(base)
     if have is None or len(have) < n:
-        size = 1 << max(16, int(n).bit_length())
+        size = (int(n) + 0xFFFF) // 0x10000 * 0x10000
         factors = np.full(size, base, np.uint64)
         factors[0] = 1
         have = _POWERS[base] = np.cumprod(factors, dtype=np.uint64)

@@ -15,7 +15,9 @@ import pyarrow as pa
 from plinth.llm.common import ragged
 
 #: A worker remembers the ids of so many distinct pieces; others are encoded again in each run.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 250_000
+#: So many pieces are handed to the library at once; its results are large.
+ENCODE_PIECES = 8192
 _AFTER_SPACE = np.zeros(256, bool)
 _AFTER_SPACE[0x21:0x7F] = True
 _AFTER_SPACE[0xC3] = True
@@ -82,7 +84,8 @@ class PieceEncoder:
         if len(new):
             slots[new] = np.arange(self.count, self.count + len(new))
             added = [pieces[i] for i in new]
-            self._add(added)
+            for lo in range(0, len(added), ENCODE_PIECES):
+                self._add(added[lo : lo + ENCODE_PIECES])
             room = max(0, CACHE_PIECES - kept)
             known.update(zip(added[:room], range(kept, kept + room), strict=False))
         of_piece = slots[cut.indices.to_numpy()]
