@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plinth.llm.common import null_safe_text, partitions, ragged, runs, sliding_max, sliding_min
+from plinth.llm.common import null_safe_text, partitions, ragged, release, runs, sliding_max, sliding_min
 
 _TABLE = np.random.default_rng(7).integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -180,18 +180,18 @@ def gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]
     have = [b for b in batches if b.num_rows]
     if not have:
         return
-    t = pa.Table.from_batches(have)
-    t = t.take(pa.array(np.lexsort((t.column("place").to_numpy(), t.column("key").to_numpy(), t.column("doc_id").fill_null(-(1 << 63)).to_numpy(), t.column("hash").to_numpy())))).combine_chunks()
-    h = t.column("hash").to_numpy()
+    t = pa.Table.from_batches(have).combine_chunks()
+    del have
+    order = np.lexsort((t.column("place").to_numpy(), t.column("key").to_numpy(), t.column("doc_id").fill_null(-(1 << 63)).to_numpy(), t.column("hash").to_numpy()))
+    h = t.column("hash").to_numpy()[order]
     starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
     lo = 0
     while lo < len(h):
         i = int(np.searchsorted(starts, lo + rows, "left"))
         hi = int(starts[i]) if i < len(starts) else len(h)
-        if hi <= lo:
-            hi = len(h)
-        yield t.slice(lo, hi - lo)
+        yield t.take(pa.array(order[lo:hi]))
         lo = hi
+    release()
 
 
 def span_rows(key: np.ndarray, first: np.ndarray, last: np.ndarray) -> Iterator[pa.RecordBatch]:

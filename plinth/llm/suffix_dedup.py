@@ -57,7 +57,9 @@ class Suffixes:
         self.data, self.start, self.size = data, start, size
         self.power = repeats.powers(len(data) + 1)
         self.prefix = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(repeats._TABLE[data] * self.power[:-1], out=self.prefix[1:])
+        terms = repeats._TABLE[data]
+        terms *= self.power[:-1]
+        np.cumsum(terms, out=self.prefix[1:])
 
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Common extensions by binary search over hashes; never too short, too long only by a collision."""
@@ -155,8 +157,15 @@ def repeated_windows(data: np.ndarray, offsets: np.ndarray, shift: np.ndarray) -
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for t in repeats.gathered(batches, BLOCK_ROWS):
-        data, offsets = texts(t.column("context"))
-        row, column = np.nonzero(repeated_windows(data, offsets, t.column("shift").to_numpy()))
+        # equal contexts repeat each other in every window, and one of them stands for all in the sort
+        shift = t.column("shift").to_numpy()
+        bytes_ = t.column("context").combine_chunks()
+        number = (bytes_.chunk(0) if isinstance(bytes_, pa.ChunkedArray) else bytes_).dictionary_encode().indices.to_numpy().astype(np.int64)
+        _, one, which, copies = np.unique(number * (LEFT + 1) + shift, return_index=True, return_inverse=True, return_counts=True)
+        data, offsets = texts(bytes_.take(pa.array(one)))
+        after, d = np.diff(offsets) - shift[one], LEFT - np.arange(WIDTH)
+        whole = (shift[one][:, None] >= d) & (after[:, None] >= WINDOW - d) & (copies > 1)[:, None]
+        row, column = np.nonzero((repeated_windows(data, offsets, shift[one]) | whole)[which])
         first = t.column("place").to_numpy()[row] + column - LEFT
         head = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (first[1:] != first[:-1] + 1)])) if len(row) else row
         tail = np.append(head[1:], len(row))[: len(head)] - 1
