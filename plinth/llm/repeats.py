@@ -25,6 +25,8 @@ from plinth.llm.common import null_safe_text, partitions, ragged, release, runs,
 
 _TABLE = np.random.default_rng(7).integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 BASE = 0x9E3779B97F4A7C15 | 1
+#: A task holds all contexts of its bucket, which are several times the text around them, so they are dealt to so many times as many tasks.
+CONTEXT_SPLIT = 4
 _POWERS = {1: np.ones(1, np.uint64)}
 
 
@@ -171,7 +173,8 @@ def spread(first: DataFrame, marks: Marks, surround: Surround, find, once_per_te
     dealt = texts.mapInArrow(_anchor_rows(marks, parts, once_per_text), "bucket long, keys binary, counts binary, hashes binary")
     sent = dealt.repartition(parts, "bucket").mapInArrow(_shared, "key long, hashes binary").groupBy("key").agg(F.collect_list("hashes").alias("hashes"))
     asked = texts.join(sent.hint("shuffle_hash"), "key").select("key", "doc_id", "text", "hashes")
-    contexts = asked.mapInArrow(_context_rows(marks, surround, parts), CONTEXT).repartition(parts, "bucket").drop("bucket")
+    fine = CONTEXT_SPLIT * parts
+    contexts = asked.mapInArrow(_context_rows(marks, surround, fine), CONTEXT).repartition(fine, "bucket").drop("bucket")
     return contexts.mapInArrow(find, "key long, spans binary").groupBy("key").agg(F.collect_list("spans").alias("spans"))
 
 
