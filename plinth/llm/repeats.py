@@ -27,6 +27,8 @@ _TABLE = np.random.default_rng(7).integers(1, 1 << 63, 256, np.uint64) * np.uint
 BASE = 0x9E3779B97F4A7C15 | 1
 #: A task holds all contexts of its bucket, which are several times the text around them, so they are dealt to so many times as many tasks.
 CONTEXT_SPLIT = 4
+#: Longer tables of powers are made anew instead of being kept.
+KEPT_POWERS = 2 << 20
 _POWERS = {1: np.ones(1, np.uint64)}
 
 
@@ -34,17 +36,28 @@ def powers(n: int, base: int = BASE) -> np.ndarray:
     have = _POWERS.get(base)
     if have is None or len(have) < n:
         size = (int(n) + 0xFFFF) // 0x10000 * 0x10000
-        factors = np.full(size, base, np.uint64)
-        factors[0] = 1
-        have = _POWERS[base] = np.cumprod(factors, dtype=np.uint64)
+        have = np.full(size, base, np.uint64)
+        have[0] = 1
+        np.cumprod(have, out=have)
+        if size <= KEPT_POWERS:
+            _POWERS[base] = have
     return have[:n]
 
 
+def prefix_hashes(data: np.ndarray, power: np.ndarray, step: int = 1 << 18) -> np.ndarray:
+    """len(data) + 1 polynomial hashes of prefixes, made in steps so that little stands beside the result."""
+    out = np.zeros(len(data) + 1, np.uint64)
+    for lo in range(0, len(data), step):
+        part = slice(lo + 1, min(lo + step, len(data)) + 1)
+        np.cumsum(_TABLE[data[lo : lo + step]] * power[lo : lo + step][: len(data) - lo], out=out[part])
+        out[part] += out[lo]
+    return out
+
+
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Polynomial hashes (mod 2^64, bytes through a random table) of the byte ranges."""
     inverse = pow(BASE, -1, 1 << 64)
-    prefix = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_TABLE[data] * powers(len(data)), out=prefix[1:])
+    prefix = prefix_hashes(data, powers(len(data)))
     return (prefix[end] - prefix[start]) * powers(len(data) + 1, inverse)[start]
 
 

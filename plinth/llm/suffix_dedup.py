@@ -56,10 +56,7 @@ class Suffixes:
     def __init__(self, data: np.ndarray, start: np.ndarray, size: np.ndarray):
         self.data, self.start, self.size = data, start, size
         self.power = repeats.powers(len(data) + 1)
-        self.prefix = np.zeros(len(data) + 1, np.uint64)
-        terms = repeats._TABLE[data]
-        terms *= self.power[:-1]
-        np.cumsum(terms, out=self.prefix[1:])
+        self.prefix = repeats.prefix_hashes(data, self.power)
 
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Common extensions by binary search over hashes; never too short, too long only by a collision."""
