@@ -9,6 +9,11 @@ The window that starts d bytes before an anchor is repeated if another anchor ha
 before it: if the two lie in one interval of common extension >= 400 - d in the suffix order, and in one of >= d in the
 prefix order. Every byte of such a window goes.
 
+However many passages share an anchor, no sort has more than BLOCK_ROWS suffixes. All windows that start lo to hi bytes before an
+anchor hold the same WINDOW - (hi - lo) bytes around it, so only contexts that agree there are compared for these windows, and one
+of those that agree on all that the windows cover stands for the others. Where more remain, each half of lo to hi is taken alone; at
+lo = hi the two ranges are the same, and contexts that agree are repeats.
+
 A text that occurs again as a whole goes entirely if it has a window. Null text: an empty text. Null doc_id and repeated rows are kept.
 An empty table gives no rows. Columns other than doc_id and text are not read.
 """
@@ -29,8 +34,10 @@ from plinth.llm.common import mix, ragged, runs, table, texts
 WINDOW, GRAM = 400, 64
 WIDTH = WINDOW - GRAM + 1
 LEFT = WIDTH - 1
-#: Anchors whose suffixes are sorted together, more only where one hash has more.
+#: Anchors whose suffixes are sorted together.
 BLOCK_ROWS = 4000
+#: Contexts hashed together, so that they stay in a cache.
+CACHE_ROWS = 1024
 
 
 def byte_marks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -126,8 +133,8 @@ class Suffixes:
         return order, common
 
 
-def repeated_windows(data: np.ndarray, offsets: np.ndarray, shift: np.ndarray) -> np.ndarray:
-    """(contexts, WIDTH): whether the window that starts LEFT - column bytes before the context's anchor occurs at another anchor too."""
+def repeated_windows(data: np.ndarray, offsets: np.ndarray, shift: np.ndarray, lo: int = 0, hi: int = LEFT) -> np.ndarray:
+    """(contexts, WIDTH): whether the window that starts LEFT - column (lo to hi) bytes before the context's anchor occurs at another anchor too."""
     n, anchor = len(shift), offsets[:-1] + shift
     after, before = offsets[1:] - anchor, shift
     order, common = Suffixes(data, anchor, after).ordered()
@@ -137,7 +144,7 @@ def repeated_windows(data: np.ndarray, offsets: np.ndarray, shift: np.ndarray) -
     near = np.maximum(common, np.append(common[1:], 0))
     alive = np.zeros(n, bool)
     alive[order] = near >= GRAM
-    for d in range(WIDTH):
+    for d in range(lo, hi + 1):
         who = np.flatnonzero(alive & (after >= WINDOW - d) & (before >= d))
         if len(who) < 2:
             continue
@@ -152,21 +159,99 @@ def repeated_windows(data: np.ndarray, offsets: np.ndarray, shift: np.ndarray) -
     return out
 
 
+def equal_ranges(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Numbers of the byte ranges (of 8 bytes or more), the same for equal ones: by hash, then verified."""
+    eights = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))
+    h, same = mix(size.astype(np.uint64)), np.empty(len(size), bool)
+    parts = [slice(at, at + CACHE_ROWS) for at in range(0, len(size), CACHE_ROWS)]
+    for p in parts:
+        last, x = begin[p] + size[p] - 8, h[p]
+        for at in range(0, int(size[p].max()), 8):
+            x = mix(x ^ eights[np.minimum(begin[p] + at, last)])
+        h[p] = x
+    _, one, number = np.unique(h, return_index=True, return_inverse=True)
+    lead = one[number]
+    for p in parts:
+        most = np.minimum(size[p], size[lead[p]])
+        ok = size[p] == size[lead[p]]
+        for at in range(0, int(most.max()), 8):
+            place = np.minimum(at, most - 8)
+            ok &= eights[begin[p] + place] == eights[begin[lead[p]] + place]
+        same[p] = ok
+    if not same.all():
+        known: dict[bytes, int] = {}
+        number = np.array([known.setdefault(data[a : a + n].tobytes(), len(known)) for a, n in zip(begin.tolist(), size.tolist(), strict=True)], np.int64)
+    return number
+
+
+class Contexts:
+    """Contexts of anchors, and ``found`` (contexts, WIDTH): which windows occur at another anchor too, as in ``repeated_windows``."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, shift: np.ndarray, block_rows: int = BLOCK_ROWS):
+        self.data, self.block_rows = np.ascontiguousarray(data), block_rows
+        self.anchor, self.before = offsets[:-1] + shift, shift
+        self.after = offsets[1:] - self.anchor
+        self.found = np.zeros((len(shift), WIDTH), bool)
+
+    def search(self, rows: np.ndarray, lo: int = 0, hi: int = LEFT) -> None:
+        rows = rows[(self.before[rows] >= lo) & (self.after[rows] >= WINDOW - hi)]
+        if len(rows) < 2:
+            return
+        core = equal_ranges(self.data, self.anchor[rows] - lo, np.full(len(rows), lo + WINDOW - hi))
+        several = np.bincount(core)[core] > 1
+        rows, core = rows[several], core[several]
+        if not len(rows):
+            return
+        b, a = np.minimum(self.before[rows], hi), np.minimum(self.after[rows], WINDOW - lo)
+        whole = equal_ranges(self.data, self.anchor[rows] - b, b + a) * (LEFT + 1) + b
+        _, one, which, copies = np.unique(whole, return_index=True, return_inverse=True, return_counts=True)
+        alike = np.flatnonzero(copies[which] > 1)
+        self._mark(rows[alike], np.maximum(lo, WINDOW - a[alike]), np.minimum(hi, b[alike]))
+        rows, core = rows[one], core[one]
+        order = np.argsort(core, kind="stable")
+        rows, core = rows[order], core[order]
+        edges = np.append(np.flatnonzero(np.concatenate([[True], core[1:] != core[:-1]])), len(core))
+        size = np.diff(edges)
+        block: list[np.ndarray] = []
+        held = 0
+        for start, n in zip(edges[:-1][size > 1].tolist(), size[size > 1].tolist(), strict=True):
+            mine = rows[start : start + n]
+            if n > self.block_rows:
+                middle = (lo + hi) // 2
+                self.search(mine, lo, middle)
+                self.search(mine, middle + 1, hi)
+                continue
+            if held + n > self.block_rows:
+                self._sort(np.concatenate(block), lo, hi)
+                block, held = [], 0
+            block.append(mine)
+            held += n
+        if block:
+            self._sort(np.concatenate(block), lo, hi)
+
+    def _mark(self, rows: np.ndarray, least: np.ndarray, most: np.ndarray) -> None:
+        d = LEFT - np.arange(WIDTH)
+        for at in range(0, len(rows), BLOCK_ROWS):
+            part = slice(at, at + BLOCK_ROWS)
+            self.found[rows[part]] |= (d >= least[part, None]) & (d <= most[part, None])
+
+    def _sort(self, rows: np.ndarray, lo: int, hi: int) -> None:
+        b, a = np.minimum(self.before[rows], hi), np.minimum(self.after[rows], WINDOW - lo)
+        data = self.data[ragged(self.anchor[rows] - b, b + a)]
+        self.found[rows] |= repeated_windows(data, np.concatenate([[0], np.cumsum(b + a)]), b, lo, hi)
+
+
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for t in repeats.gathered(batches, BLOCK_ROWS):
-        # equal contexts repeat each other in every window, and one of them stands for all in the sort
-        shift = t.column("shift").to_numpy()
-        bytes_ = t.column("context").combine_chunks()
-        number = (bytes_.chunk(0) if isinstance(bytes_, pa.ChunkedArray) else bytes_).dictionary_encode().indices.to_numpy().astype(np.int64)
-        _, one, which, copies = np.unique(number * (LEFT + 1) + shift, return_index=True, return_inverse=True, return_counts=True)
-        data, offsets = texts(bytes_.take(pa.array(one)))
-        after, d = np.diff(offsets) - shift[one], LEFT - np.arange(WIDTH)
-        whole = (shift[one][:, None] >= d) & (after[:, None] >= WINDOW - d) & (copies > 1)[:, None]
-        row, column = np.nonzero((repeated_windows(data, offsets, shift[one]) | whole)[which])
-        first = t.column("place").to_numpy()[row] + column - LEFT
-        head = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (first[1:] != first[:-1] + 1)])) if len(row) else row
-        tail = np.append(head[1:], len(row))[: len(head)] - 1
-        yield from repeats.span_rows(t.column("key").to_numpy()[row[head]], first[head], first[tail])
+        contexts = Contexts(*texts(t.column("context")), t.column("shift").to_numpy())
+        contexts.search(np.arange(t.num_rows))
+        key, place = t.column("key").to_numpy(), t.column("place").to_numpy()
+        for lo in range(0, t.num_rows, BLOCK_ROWS):
+            row, column = np.nonzero(contexts.found[lo : lo + BLOCK_ROWS])
+            first = place[lo + row] + column - LEFT
+            head = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (first[1:] != first[:-1] + 1)])) if len(row) else row
+            tail = np.append(head[1:], len(row))[: len(head)] - 1
+            yield from repeats.span_rows(key[lo + row[head]], first[head], first[tail])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

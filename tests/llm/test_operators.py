@@ -66,6 +66,29 @@ def test_suffix_sort_is_exact():
     assert (order == plain).all() and (common == exact).all()
 
 
+@pytest.mark.parametrize("block_rows", [2, 7, 4000])
+def test_common_anchor_in_small_sorts(block_rows):
+    r = np.random.default_rng(block_rows)
+    left, right = suffix_dedup.LEFT, suffix_dedup.WINDOW
+    core = r.integers(97, 123, left + right).astype(np.uint8)
+    made, shift = [], []
+    for _ in range(60):
+        x = core.copy()
+        a, b = r.integers(0, left), r.integers(left + 64, left + right)
+        x[:a], x[b:] = r.integers(97, 99, a), r.integers(97, 99, left + right - b)
+        lo, hi = r.choice([0, 0, r.integers(0, left)]), r.choice([left + right, left + right, r.integers(left + 64, left + right)])
+        made.append(x[lo:hi])
+        shift.append(left - lo)
+    made += made[:3] + [core, core, core[:left + 90]]
+    shift += shift[:3] + [left, left, left]
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in made])])
+    contexts = suffix_dedup.Contexts(np.concatenate(made), offsets, np.array(shift), block_rows)
+    contexts.search(np.arange(len(made)))
+    windows = {(i, s - d): x[s - d : s - d + right].tobytes() for i, (x, s) in enumerate(zip(made, shift, strict=True)) for d in range(suffix_dedup.WIDTH) if s >= d and len(x) >= s - d + right}
+    times = Counter((shift[i] - at, w) for (i, at), w in windows.items())
+    assert {(i, int(c) - left + shift[i]) for i, c in zip(*np.nonzero(contexts.found), strict=True)} == {(i, at) for (i, at), w in windows.items() if times[shift[i] - at, w] > 1}
+
+
 def test_substring_dedup(docs, rows):
     first = {}
     low = lambda i: -1 if i is None else i
