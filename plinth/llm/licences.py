@@ -2,8 +2,10 @@
 
 A document's units (its lines, its paragraphs between blank lines, and the whole text) are normalised: lower case, runs of anything but
 a-z and 0-9 become a space. A unit is compared with each licence template by the Dice coefficient over their distinct word bigrams,
-2 c / (a + b). A coefficient of ``least`` needs min(a, b) / max(a, b) >= least / (2 - least), so templates outside those bounds
-are never compared. The best template of a unit counts, of equal ones the first by name.
+2 c / (a + b). A coefficient of ``least`` needs min(a, b) / max(a, b) >= least / (2 - least) = q, so templates outside those bounds
+are never compared. It also needs c >= q a of a unit's a bigrams to be of the template: units with fewer bigrams of any template are
+left before templates are met, and, as a word of no template makes at least half a bigram of none, units with over 2 (1 - q) a such distinct
+words before bigrams are made. The best template of a unit counts, of equal ones the first by name.
 
 Result: a row per document and licence found: doc_id, licence, n_units (distinct units), best_dice. Null text: nothing is found. Rows with equal
 doc_id count as one document. An empty table gives no rows. Columns other than doc_id and text are not read.
@@ -44,6 +46,8 @@ TEMPLATES = [
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
 ]
 LEAST = 0.8
+#: What rounding may take from a bound.
+SLACK = 1e-6
 
 
 def bigrams_of(text: str) -> list[str]:
@@ -61,13 +65,21 @@ def _sizes(least: float) -> tuple[int, int]:
 def find_licences(docs: DataFrame, least: float = LEAST) -> DataFrame:
     text, ratio = null_safe_text(), least / (2 - least)
     low, high = _sizes(least)
+    known_grams = sorted({g for _, t in TEMPLATES for g in bigrams_of(t)})
+    known_words = sorted({w for g in known_grams for w in g.split(" ")})
     units = F.array_distinct(F.concat(F.split(text, "\n"), F.split(text, r"\n[\x20\x09-\x0D]*\n"), F.array(text)))
     each = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(units).alias("unit"))
     plain = F.trim(F.regexp_replace(F.lower("unit"), "[^a-z0-9]+", " "))
     # exploding an array of one keeps the optimizer from moving a filter below, and so repeating, what it is made from
-    normal = each.select("doc_id", F.explode(F.array(plain)).alias("unit")).select("doc_id", "unit", F.explode(F.array(F.split("unit", " "))).alias("words")).filter(F.size("words") > low)
+    normal = each.select("doc_id", F.explode(F.array(plain)).alias("unit"))
+    # a unit that matches has at most ``high`` distinct bigrams, so its first words bound what a long one can have
+    head = normal.select("doc_id", "unit", F.explode(F.array(F.split("unit", " ", 2 * high))).alias("head")).filter(F.size("head") > low)
+    foreign = F.size(F.array_distinct(F.filter(F.slice("head", 1, 2 * high - 1), lambda w: ~w.isin(known_words))))
+    likely = head.filter(foreign <= 2 * (1 - ratio) * F.least(F.size("head") - 1, F.lit(high)) + SLACK)
+    words = likely.select("doc_id", "unit", F.explode(F.array(F.split("unit", " "))).alias("words"))
     pairs: Column = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("words") - 1)), lambda i: F.concat_ws(" ", F.slice("words", i, F.lit(2)))))
-    grams = normal.select("doc_id", "unit", F.explode(F.array(pairs)).alias("grams")).withColumn("n", F.size("grams")).filter(F.col("n").between(low, high))
+    grams = words.select("doc_id", "unit", F.explode(F.array(pairs)).alias("grams")).withColumn("n", F.size("grams")).filter(F.col("n").between(low, high))
+    grams = grams.filter(F.size(F.filter("grams", lambda g: g.isin(known_grams))) >= F.col("n") * ratio - SLACK)
     known = F.array(*(F.struct(F.lit(name).alias("licence"), F.lit(len(bigrams_of(t))).alias("n"), F.array(*map(F.lit, bigrams_of(t))).alias("grams")) for name, t in TEMPLATES))
     fitting = F.filter(known, lambda t: F.least(F.col("n"), t["n"]) >= F.greatest(F.col("n"), t["n"]) * F.lit(ratio))
     pairs_near = grams.select("doc_id", "unit", "n", "grams", F.explode(fitting).alias("t"))
@@ -91,7 +103,7 @@ d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 u AS (SELECT doc_id, unnest(list_concat(string_split(text, chr(10)), regexp_split_to_array(text, '\n[\x20\x09-\x0D]*\n'), [text])) AS unit FROM d),
 p AS (SELECT DISTINCT doc_id, trim(regexp_replace(lower(unit), '[^a-z0-9]+', ' ', 'g')) AS unit FROM u),
 w AS (SELECT doc_id, unit, string_split(unit, ' ') AS words FROM p),
-g AS (SELECT doc_id, unit, list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS grams FROM w WHERE len(words) BETWEEN 2 AND 400),
+g AS (SELECT doc_id, unit, list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS grams FROM w WHERE len(words) >= 2),
 x AS (SELECT doc_id, unit, licence, 2.0::DOUBLE * len(list_intersect(g.grams, t.grams)) / (len(g.grams) + len(t.grams)) AS dice FROM g, t),
 b AS (SELECT doc_id, unit, licence, dice, row_number() OVER (PARTITION BY doc_id, unit ORDER BY dice DESC, licence) AS r FROM x)
 SELECT doc_id, licence, count(*) AS n_units, max(dice) AS best_dice FROM b WHERE r = 1 AND dice >= CAST({LEAST} AS DOUBLE) GROUP BY doc_id, licence
