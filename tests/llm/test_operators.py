@@ -8,10 +8,12 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from plinth.llm import decontamination, licences, packing, quality, sharding, simhash, substring_dedup, suffix_dedup, token_counts, token_output
 from plinth.llm.common import shared_dir, texts
+from plinth.llm.tokens import PieceEncoder, vocabulary_path
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n_words string, key string"
 
@@ -254,3 +256,13 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     for made in (suffix_dedup.remove_repeated_bytes(none), substring_dedup.remove_repeated_words(none), simhash.near_duplicates(none), packing.pack_documents(none, "word_bpe_49k.json", 1), token_counts.count_tokens(none, "piece_bpe_32k.model"), sharding.shard_by_bytes(none), quality.quality_rules(none), licences.find_licences(none), decontamination.contaminated(none, spark.createDataFrame([], "item_id long, text string")), token_output.read_token_files(spark, token_output.write_token_files(none, shared_dir(spark), "byte_bpe_50k.json", 2, 50257))):
         assert made.count() == 0
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_pieces_joined_are_the_text(name):
+    r = random.Random(4)
+    pool = ["<|endoftext|>", "<|startoftext|>", "<", "|", "t|", "|e", "<|", "|>", ".", "!", "A.", "x-", "=", "~", "it's", "'S", "don't!", " ", "\n", "\n\n", "\r\n", "é", "e\u0301", "\u0338", "İ", "Ω", "日本", "a", "The", " the", "12", "\0", "\x85", "\u200b", "\u00a0", "\U0001f600"]
+    made = ["".join(r.choice(pool) for _ in range(r.randint(0, 40))) for _ in range(3000)]
+    encoder = PieceEncoder(vocabulary_path(name))
+    ids, first = encoder.encode(*texts(pa.array(made)))
+    assert all(encoder.library.encode(t, add_special_tokens=False).ids == ids[a:b].tolist() for t, a, b in zip(made, first, first[1:], strict=False))
