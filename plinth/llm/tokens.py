@@ -4,9 +4,9 @@ A text is cut before each single space that is followed by a printable ASCII cha
 Both vocabularies' pre-tokenizers always start a new pre-token there, no normalizer composes across it and no
 added token contains a space, so the pieces' ids joined are the ids of the whole text. The tests compare the two.
 
-A vocabulary whose pre-tokenizer drops white space and never joins letters with what follows them (those in APART) is also cut between an ASCII
-letter and a following ASCII mark other than an apostrophe, which contractions need, and a bar, which added tokens hold, and between
-a line end and a following ASCII letter. Words are then the same piece whatever mark follows them.
+Neither joins letters with marks after them, so a text is also cut between an ASCII letter and a following ASCII mark other than an
+apostrophe, which contractions need, and a bar, which added tokens hold. Vocabularies in APART drop white space, and are
+also cut between a line end and a following ASCII letter. Words are then the same piece whatever mark follows them.
 """
 
 from __future__ import annotations
@@ -84,9 +84,10 @@ class PieceEncoder:
         is_edge[offsets] = True
         space = space[~is_edge[space + 1]]
         is_edge[space] = True
+        letter = _LETTER[data]
+        is_edge[1:-1] |= letter[:-1] & _MARK[data[1:]]
         if self.apart:
-            letter = _LETTER[data]
-            is_edge[1:-1] |= (letter[:-1] & _MARK[data[1:]]) | ((data[:-1] == 0x0A) & letter[1:])
+            is_edge[1:-1] |= (data[:-1] == 0x0A) & letter[1:]
         edges = np.flatnonzero(is_edge)
         cut = pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
         pieces = cut.dictionary.to_pylist()
