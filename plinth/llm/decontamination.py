@@ -1,15 +1,16 @@
 """Operator 1: benchmark decontamination by q-gram lemma filtering.
 
 Texts are compared as bytes with A-Z lowered and separators as spaces. An occurrence of an item of m bytes with at most
-e = floor(RATE * m) edits shares at least m + 1 - Q * (e + 1) q-grams with it, on e + 1 neighbouring diagonals (document place
-less item place). Diagonals are counted in bands of 2 e + 1, each overlapping the next by e, so every such occurrence lies in one band. Bands
-that reach the bound are verified by a banded alignment of the whole item with free ends in the document.
+e = floor(RATE * m) edits shares at least m + 1 - q * (e + 1) q-grams with it, on e + 1 neighbouring diagonals (document place
+less item place). q is Q, or less for a short item, so that this bound is positive for every item; one of under 10 bytes has no edits
+and one of at most Q bytes is its own q-gram. Diagonals are counted in bands of 2 e + 1, each overlapping the next by e, so every such
+occurrence lies in one band. Bands that reach the bound are verified by a banded alignment of the whole item with free ends in the document.
 
-Items shorter than MIN_BYTES, for which the bound would say nothing, are not searched. The benchmark is read in blocks of BLOCK_BYTES,
-each of which is sent to the executors; the documents are read once for each block, whole, and never moved.
+Every item with a word is searched; as bytes are compared, a very short one is also found inside of words. The benchmark is read in
+blocks of BLOCK_BYTES, each of which is sent to the executors; the documents are read once for each block, whole, and never moved.
 
 Result: a row per document and item found: doc_id, item_id, edits (the fewest), doc_end (byte place after that occurrence). Null text: nothing is found.
-Null doc_id and repeated rows are kept. Empty tables give no rows. Items with null text are not searched. Other columns are not read.
+Null doc_id and repeated rows are kept. Empty tables give no rows. Items with null text or only separators are not searched. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import types as T
 
 from plinth.llm.common import SEPARATOR, ragged, runs, table
 
-Q, RATE, MIN_BYTES = 8, 0.1, 48
+Q, RATE = 8, 0.1
 BLOCK_BYTES = 8 << 20
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[0x41:0x5B] += 0x20
@@ -32,10 +33,10 @@ _FOLD[SEPARATOR] = 0x20
 _TABLE_BITS = 22
 
 
-def grams(data: np.ndarray) -> np.ndarray:
-    """The 8 bytes at each place as a number; len(data) - 7 of them."""
-    n = max(0, len(data) - Q + 1)
-    return np.ndarray((n,), "<u8", data.tobytes() if n else b"\0" * 8, 0, (1,))
+def grams(data: np.ndarray, q: int = Q) -> np.ndarray:
+    """The q bytes (8 at most) at each place as a number; len(data) - q + 1 of them."""
+    n = max(0, len(data) - q + 1)
+    return np.ndarray((n,), "<u8", data.tobytes() + bytes(8), 0, (1,)) & np.uint64((1 << 8 * q) - 1)
 
 
 class Items:
@@ -46,39 +47,49 @@ class Items:
         self.texts = [_FOLD[np.frombuffer(t, np.uint8)] for t in texts]
         self.size = np.array([len(t) for t in self.texts], np.int64)
         self.edits = (self.size * rate).astype(np.int64)
-        self.need = np.maximum(1, self.size + 1 - Q * (self.edits + 1))
-        each = [grams(t) for t in self.texts]
-        code = np.concatenate(each) if each else np.zeros(0, np.uint64)
-        item = np.repeat(np.arange(len(each)), [len(x) for x in each])
-        place = np.concatenate([np.arange(len(x)) for x in each]) if each else np.zeros(0, np.int64)
+        self.q = np.clip(self.size // (self.edits + 1), 1, Q)
+        self.need = np.maximum(1, self.size + 1 - self.q * (self.edits + 1))
+        self.index = {q: self._indexed(q) for q in np.unique(self.q).tolist()}
+
+    def _indexed(self, q: int) -> tuple[np.ndarray, ...]:
+        """Of the items with grams of q bytes: the different grams, where each one's places begin, item and item place, flags by slot."""
+        mine = np.flatnonzero(self.q == q)
+        each = [grams(self.texts[i], q) for i in mine]
+        code, n = np.concatenate(each), [len(x) for x in each]
+        item, place = np.repeat(mine, n), ragged(np.zeros(len(n), np.int64), np.array(n))
         order = np.argsort(code, kind="stable")
-        code, self.item, self.place = code[order], item[order], place[order]
-        self.code, self.first = np.unique(code, return_index=True)
-        self.first = np.append(self.first, len(code))
-        self.flags = np.zeros(1 << _TABLE_BITS, bool)
-        self.flags[self._slot(self.code)] = True
+        names, first = np.unique(code[order], return_index=True)
+        flags = np.zeros(1 << _TABLE_BITS, bool)
+        flags[self._slot(names)] = True
+        return names, np.append(first, len(code)), item[order], place[order], flags
 
     @staticmethod
     def _slot(code: np.ndarray) -> np.ndarray:
         return ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
 
-    def hits(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(document place, item, item place) of each shared q-gram."""
-        code = grams(data)
-        at = np.flatnonzero(self.flags[self._slot(code)])
-        k = np.minimum(np.searchsorted(self.code, code[at]), max(0, len(self.code) - 1))
-        same = self.code[k] == code[at] if len(self.code) else np.zeros(0, bool)
-        at, k = at[same], k[same]
-        n = self.first[k + 1] - self.first[k]
-        which = ragged(self.first[k], n)
-        return np.repeat(at, n), self.item[which], self.place[which]
+    def hits(self, data: np.ndarray, offsets: np.ndarray, q: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(place, document, item, item place) of each shared gram of q bytes; of an item that is one gram without edits, the first in each document."""
+        names, first, items, places, flags = self.index[q]
+        code = grams(data, q)
+        at = np.flatnonzero(flags[self._slot(code)])
+        k = np.minimum(np.searchsorted(names, code[at]), len(names) - 1)
+        doc = np.searchsorted(offsets, at, "right") - 1
+        same = (names[k] == code[at]) & (at + q <= offsets[doc + 1])
+        at, k, doc = at[same], k[same], doc[same]
+        n = first[k + 1] - first[k]
+        which = ragged(first[k], n)
+        at, doc, item, place = np.repeat(at, n), np.repeat(doc, n), items[which], places[which]
+        whole = (self.size[item] == q) & (self.edits[item] == 0)
+        if whole.any():
+            keep, to = ~whole, np.flatnonzero(whole)
+            keep[to[np.unique(doc[to] * len(self.size) + item[to], return_index=True)[1]]] = True
+            at, doc, item, place = at[keep], doc[keep], item[keep], place[keep]
+        return at, doc, item, place
 
     def candidates(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, item, first diagonal of the band, within the document) of bands that reach their bound."""
-        at, item, place = self.hits(data)
-        doc = np.searchsorted(offsets, at, "right") - 1
-        inside = at + Q <= offsets[doc + 1]
-        at, item, place, doc = at[inside], item[inside], place[inside], doc[inside]
+        none = np.zeros(0, np.int64)
+        at, doc, item, place = (np.concatenate(x) for x in zip((none,) * 4, *(self.hits(data, offsets, q) for q in self.index), strict=True))
         # a document and item that share too few q-grams altogether need no bands
         pair = doc * len(self.size) + item
         enough = np.bincount(pair, minlength=(len(offsets) - 1) * len(self.size))[pair] >= self.need[item] if len(offsets) * len(self.size) <= 1 << 24 else np.ones(len(pair), bool)
@@ -153,7 +164,7 @@ def item_blocks(benchmark: DataFrame, rate: float, limit: int = BLOCK_BYTES) ->
     ids, texts, size = [], [], 0
     for r in benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).toLocalIterator():
         text = (r.text or "").encode()
-        if len(text) < MIN_BYTES:
+        if not text.strip(b" \t\n\v\f\r"):
             continue
         if size + len(text) > limit and texts:
             yield Items(ids, texts, rate)
