@@ -75,15 +75,19 @@ def release() -> None:
 def runs(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = RUN_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Batches cut so that each has at most ``limit`` bytes of text, or one row: (batch, bytes, offsets)."""
     for batch in batches:
-        data, offsets = texts(batch.column(batch.schema.get_field_index(text)))
-        lo, n = 0, batch.num_rows
-        while lo < n:
-            hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + limit, "right")) - 1)
-            yield batch.slice(lo, hi - lo), data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
-            lo = hi
+        yield from slices(batch, text, limit)
     release()
 
 
+def slices(batch: pa.RecordBatch, text: str = "text", limit: int = RUN_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    data, offsets = texts(batch.column(batch.schema.get_field_index(text)))
+    lo, n = 0, batch.num_rows
+    while lo < n:
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + limit, "right")) - 1)
+        yield batch.slice(lo, hi - lo), data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+        lo = hi
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Concatenated aranges: for each i the positions starts[i] .. starts[i]+lengths[i]-1."""
     total = int(lengths.sum())

@@ -1,14 +1,15 @@
 """Operator 4: substring deduplication by relative Lempel-Ziv parsing.
 
-Reference blocks hold the corpus' passages, indexed by anchor (see repeats.py): a block has every passage around the anchors
-dealt to it, in doc_id order. A document is factored greedily against each block that has its anchors: from an
-anchor, the longest common run with the block's first passage there is a factor. A factor of WINDOW words or more is a duplicate
-span. Windows that cross a factor's ends may still equal a window of another passage, so each of them is looked up among all
-passages of the block; words are compared, not hashes.
+A reference block holds the corpus' passages around the anchors dealt to it (see repeats.py), in order of doc_id, with an index of the
+runs of words at each column. Every document's passages are factored greedily against every block that has one of their anchors:
+from a place on, the longest run of words that an earlier document's passage has there too is a factor. A factor of WINDOW words or more
+is a duplicate span, and nothing else is. The next factor begins WINDOW - 1 words before the end of a long one, so that windows across
+factor boundaries are parsed as well, and one word after the start of a shorter one. Words are compared, not hashes.
 
 A word goes if a window of WINDOW words that covers it also starts in a document with a smaller doc_id. Of equal texts all but those of
-the smallest doc_id go whole. Null text: no words. Null doc_id sorts before all others. Rows with equal doc_id don't reduce each other, and an
-empty table gives no rows. Columns other than doc_id and text are not read.
+the smallest doc_id go whole. Null text: no words. Null doc_id sorts before all others. Rows with equal doc_id don't reduce each other.
+Very long texts are searched whole, in the memory of one text. An empty table gives no rows. Columns other than doc_id, text and those to be
+carried are not read, whatever they are called.
 """
 
 from __future__ import annotations
@@ -19,39 +20,41 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from plinth.llm import repeats
-from plinth.llm.common import mix, ragged, runs, table, word_spans
+from plinth.llm.common import mix, ragged, table, word_spans
 
 WINDOW, GRAM = 13, 5
 WIDTH = WINDOW - GRAM + 1  # grams in a window
 LEFT, RIGHT = WIDTH - 1, WINDOW  # words around an anchor's start
+COLUMNS = LEFT + RIGHT
 
 
-def word_marks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, text number, word number in the text) of each anchor."""
-    start, end, first = word_spans(data, offsets)
-    n = len(start)
-    if n < WINDOW:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    words = mix(repeats.span_hashes(data, start, end))
-    grams = np.zeros(n - GRAM + 1, np.uint64)
-    for j in range(GRAM):
-        grams += words[j : n - GRAM + 1 + j] * np.uint64((0xD6E8FEB86659FD93 * (2 * j + 3)) & (2**64 - 1))
-    grams = mix(grams)
-    at = repeats.anchors(grams, first[:-1], first[1:] - WINDOW + 1, WIDTH)
-    doc = np.searchsorted(first, at, "right") - 1
-    return grams[at], doc, at - first[doc]
-
-
-def word_surround(data: np.ndarray, offsets: np.ndarray, doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte range of the words around each anchor, and how many of them come before it."""
-    start, end, first = word_spans(data, offsets)
-    at = first[doc] + place
-    lo, hi = np.maximum(first[doc], at - LEFT), np.minimum(first[doc + 1], at + RIGHT)
-    return start[lo] if len(lo) else lo, end[hi - 1] if len(hi) else hi, at - lo
+class Words:
+    """A run's words as symbols."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        self.data = data
+        self.start, self.end, self.first = word_spans(data, offsets)
+        self.n = np.diff(self.first)
+
+    def marks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hash, text number, word number in the text) of each anchor."""
+        n = len(self.start)
+        if n < WINDOW:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        words = mix(repeats.span_hashes(self.data, self.start, self.end))
+        grams = np.zeros(n - GRAM + 1, np.uint64)
+        for j in range(GRAM):
+            grams += words[j : n - GRAM + 1 + j] * np.uint64((0xD6E8FEB86659FD93 * (2 * j + 3)) & (2**64 - 1))
+        grams = mix(grams)
+        at = repeats.anchors(grams, self.first[:-1], self.first[1:] - WINDOW + 1, WIDTH)
+        doc = np.searchsorted(self.first, at, "right") - 1
+        return grams[at], doc, at - self.first[doc]
+
+    def span(self, text: np.ndarray, place: np.ndarray, before: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = self.first[text] + place
+        return self.start[at - before], self.end[at + after - 1]
 
 
 def _word_table(context: pa.Array, shift: np.ndarray) -> np.ndarray:
@@ -71,86 +74,107 @@ def _word_table(context: pa.Array, shift: np.ndarray) -> np.ndarray:
     return out
 
 
-def duplicate_windows(words: np.ndarray, group: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """(rows, WIDTH): which windows (by their first column) also occur in the same group in a row of a smaller doc.
+class Block:
+    """Passages of words in order of group and doc, indexed by the runs of words at each column."""
+
+    def __init__(self, words: np.ndarray, group: np.ndarray, doc: np.ndarray):
+        self.words, self.group, self.doc = words, group, doc
+        scale = (np.random.default_rng(11).integers(1, 1 << 62, COLUMNS, np.int64).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
+        self.prefix = np.zeros((len(words), COLUMNS + 1), np.uint64)
+        np.cumsum((words + 1).astype(np.uint64) * scale, axis=1, out=self.prefix[:, 1:])
+
+    def whole(self, column: int, length: int) -> np.ndarray:
+        """Which passages have all words of the run."""
+        return (self.words[:, column] >= 0) & (self.words[:, column + length - 1] >= 0)
+
+    def runs(self, rows: np.ndarray, column: int, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(rows, number of each one's run, the run's smallest doc): rows that have equal words there, and group, have one number."""
+        value = mix(self.prefix[rows, column + length] - self.prefix[rows, column] + mix(self.group[rows].astype(np.uint64)))
+        order = np.argsort(value, kind="stable")
+        rows, value = rows[order], value[order]
+        have, group = self.words[rows, column : column + length], self.group[rows]
+        new = np.concatenate([[True], (have[1:] != have[:-1]).any(axis=1) | (group[1:] != group[:-1])])
+        if (new[1:] & (value[1:] == value[:-1])).any():  # two runs of one hash: order by the words instead
+            order = np.lexsort((*have.T, group))
+            rows, have, group = rows[order], have[order], group[order]
+            new = np.concatenate([[True], (have[1:] != have[:-1]).any(axis=1) | (group[1:] != group[:-1])])
+        head, number = np.flatnonzero(new), np.cumsum(new) - 1
+        return rows, number, np.minimum.reduceat(self.doc[rows], head)[number]
+
+    def longest(self, mine: np.ndarray, column: int) -> np.ndarray:
+        """Length of each passage's factor from a column on: its longest run there in a passage of a smaller doc; 0 if under WINDOW words."""
+        wanted = np.zeros(int(self.group[-1]) + 1, bool)
+        wanted[self.group[mine]] = True
+        out, left = np.zeros(len(self.words), np.int64), np.zeros(len(self.words), bool)
+        left[mine] = True
+        rows = np.flatnonzero(wanted[self.group] & self.whole(column, WINDOW))
+        rows, number, least = self.runs(rows, column, WINDOW)
+        left[rows] &= least < self.doc[rows]
+        out[rows[left[rows]]] = WINDOW
+        for length in range(COLUMNS - column, WINDOW, -1):
+            live = np.zeros(int(number.max()) + 1, bool)  # runs of WINDOW words that still have a passage without its factor
+            live[number[left[rows]]] = True
+            rows, number = rows[live[number]], number[live[number]]
+            if not len(rows):
+                break
+            able = rows[self.whole(column, length)[rows]]
+            if len(able) > 1:
+                able, _, least = self.runs(able, column, length)
+                done = able[left[able] & (least < self.doc[able])]
+                out[done], left[done] = length, False
+        return out[mine]
 
-    Rows are in order of group and doc."""
-    n = len(words)
+
+def duplicate_windows(words: np.ndarray, group: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """(rows, WIDTH): which windows (by their first column) lie in a factor of WINDOW words or more of their row. Rows are in order of group and doc."""
+    n, block = len(words), Block(words, group, doc)
+    out = np.zeros((n, WIDTH), bool)
     lead = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-    leader = np.repeat(lead, np.diff(np.append(lead, n)))
-    same = (words == words[leader]) & (words >= 0)
-    left = np.cumprod(same[:, LEFT - 1 :: -1], axis=1).sum(axis=1)
-    right = np.cumprod(same[:, LEFT:], axis=1).sum(axis=1)
-    earlier = doc[leader] < doc
-    column = np.arange(WIDTH)
-    # inside a factor of WINDOW words or more
-    out = earlier[:, None] & (column >= (LEFT - left)[:, None]) & (column + WINDOW <= (LEFT + right)[:, None])
-    scale = (np.random.default_rng(11).integers(1, 1 << 62, WINDOW, np.int64).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
-    for d in range(WIDTH):
-        rows = words[:, d : d + WINDOW]
-        whole = np.flatnonzero((rows >= 0).all(axis=1))
-        if len(whole) < 2:
-            continue
-        rows = rows[whole]
-        value = mix(rows.astype(np.uint64) @ scale + group[whole].astype(np.uint64))
-        order = np.argsort(value, kind="stable")  # stable: of equal windows the smallest doc leads
-        rows, value, at = rows[order], value[order], whole[order]
-        new = np.concatenate([[True], (rows[1:] != rows[:-1]).any(axis=1) | (group[at][1:] != group[at][:-1])])
-        if (new[1:] & (value[1:] == value[:-1])).any():  # two windows of one hash: order by the words instead
-            order = np.lexsort((*rows.T, group[at]))
-            rows, at = rows[order], at[order]
-            new = np.concatenate([[True], (rows[1:] != rows[:-1]).any(axis=1) | (group[at][1:] != group[at][:-1])])
-        head = np.flatnonzero(new)
-        least = np.minimum.reduceat(doc[at], head)
-        out[at, d] |= np.repeat(least, np.diff(np.append(head, len(at)))) < doc[at]
+    later = np.repeat(doc[lead], np.diff(np.append(lead, n))) < doc  # a group's smallest doc has nothing before it
+    at = np.zeros(n, np.int64)  # where the next factor begins
+    for column in range(WIDTH):
+        here = at == column
+        mine = np.flatnonzero(here & later & block.whole(column, WINDOW))
+        at[here] += 1
+        if len(mine):
+            length = block.longest(mine, column)
+            long = np.flatnonzero(length >= WINDOW)
+            ends = column + length[long] - WINDOW  # the last window inside
+            out[mine[long]] |= (np.arange(WIDTH) >= column) & (np.arange(WIDTH) <= ends[:, None])
+            at[mine[long]] = ends + 1
     return out
 
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for t in repeats.gathered(batches, 60_000):
-        shift = t.column("shift").to_numpy()
-        words = _word_table(t.column("context").combine_chunks() if t.column("context").num_chunks != 1 else t.column("context").chunk(0), shift)
+        words = _word_table(t.column("context").combine_chunks() if t.column("context").num_chunks != 1 else t.column("context").chunk(0), t.column("shift").to_numpy())
         h = t.column("hash").to_numpy()
         group = np.cumsum(np.concatenate([[False], h[1:] != h[:-1]]))
-        doc = t.column("doc_id").fill_null(-(1 << 63)).to_numpy()
-        row, column = np.nonzero(duplicate_windows(words, group, doc))
-        first = t.column("place").to_numpy()[row] + column - LEFT
-        # neighbouring windows of one context make one span
-        new = np.concatenate([[True], (row[1:] != row[:-1]) | (first[1:] != first[:-1] + 1)]) if len(row) else np.zeros(0, bool)
-        head = np.flatnonzero(new)
-        tail = np.append(head[1:], len(row))[: len(head)] - 1
-        yield from repeats.span_rows(t.column("key").to_numpy()[row[head]], first[head], first[tail])
-
-
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text, copy, spans, what is carried) -> (what is carried, doc_id, n_words, n_removed, kept_sha256, kept_text)."""
-    for batch, data, offsets in runs(batches):
-        rows = []
-        for k, (copy, spans) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-            words = data[offsets[k] : offsets[k + 1]].tobytes().split()
-            if copy and len(words) >= WINDOW:
-                kept, gone = [], len(words)
-            elif spans:
-                out = repeats.covered(spans, WINDOW, len(words))
-                kept, gone = [w for w, x in zip(words, out.tolist(), strict=True) if not x], int(out.sum())
-            else:
-                kept, gone = words, 0
-            text = b" ".join(kept)
-            rows.append((len(words), gone, hashlib.sha256(text).hexdigest(), text.decode("utf-8", "replace")))
-        a, b, c, d = zip(*rows, strict=True) if rows else ((), (), (), ())
-        yield pa.RecordBatch.from_arrays([*batch.columns[4:], batch.column(0), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.string()), pa.array(d, pa.string())], names=[*batch.schema.names[4:], "doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
-
-
-def remove_repeated_words(docs: DataFrame, carry: list[str] = ()) -> DataFrame:
-    """Per row of docs: doc_id, n_words, n_removed, kept_sha256, kept_text; with docs' columns ``carry``, which win over clashing names."""
-    rows = repeats.keyed(docs, carry)
-    spans = repeats.spread(repeats.distinct_texts(rows), word_marks, word_surround, _find, once_per_text=True)
-    columns = ["doc_id", "text", (~F.col("doc_id").eqNullSafe(F.col("least_id"))).alias("copy"), "spans", *(["carried"] if carry else [])]
-    joined = rows.join(spans.hint("shuffle_hash"), "key", "left").select(*columns)
-    made = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
-    carried = [joined.schema["carried"]] if carry else []
-    out = joined.mapInArrow(_cut, T.StructType(carried + T.StructType.fromDDL(made).fields))
-    return out.select("carried.*", *(c.split()[0] for c in made.split(", ") if c.split()[0] not in carry)) if carry else out
+        yield from repeats.answered(t, *np.nonzero(duplicate_windows(words, group, t.column("doc_id").to_numpy())))
+
+
+METHOD = repeats.Method(WINDOW, LEFT, Words, True, WIDTH, _find)
+
+
+def _cut(text: bytes, which, searched: bool, copies: int) -> tuple:
+    words = text.split()
+    kept, gone = words, 0
+    if not searched and len(words) >= WINDOW:
+        kept, gone = [], len(words)
+    elif which:
+        out = which(len(words))
+        kept, gone = [w for w, x in zip(words, out.tolist(), strict=True) if not x], int(out.sum())
+    joined = b" ".join(kept)
+    return len(words), gone, hashlib.sha256(joined).hexdigest(), (joined if gone else text).decode("utf-8", "replace")
+
+
+MADE = "n_words long, n_removed long, kept_sha256 string, kept_text string"
+
+
+def remove_repeated_words(docs: DataFrame, carry: list[str] = (), hot_pages: int = repeats.HOT_PAGES) -> DataFrame:
+    """Per row of docs: doc_id, n_words, n_removed, kept_sha256, kept_text (the text as it is if nothing goes); with docs' columns ``carry`` as
+    the struct ``carried``."""
+    return repeats.remove_repeats(docs, METHOD, _cut, MADE, carry, hot_pages)
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

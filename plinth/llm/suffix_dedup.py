@@ -12,10 +12,11 @@ prefix order. Every byte of such a window goes.
 However many passages share an anchor, no sort has more than BLOCK_ROWS suffixes. All windows that start lo to hi bytes before an
 anchor hold the same WINDOW - (hi - lo) bytes around it, so only contexts that agree there are compared for these windows, and one
 of those that agree on all that the windows cover stands for the others. Where more remain, each half of lo to hi is taken alone; at
-lo = hi the two ranges are the same, and contexts that agree are repeats.
+lo = hi the two ranges are the same, and contexts that agree are repeats without a sort, as are those that agree on all of a range.
 
-A text that occurs again as a whole goes entirely if it has a window. Null text: an empty text. Null doc_id and repeated rows are kept.
-An empty table gives no rows. Columns other than doc_id and text are not read.
+A text that occurs again as a whole (by SHA-256) goes entirely if it has a window. Null text: an empty text. Null doc_id and repeated rows
+are kept; the latter are copies of each other. Very long texts are searched whole, in the memory of one text. An empty table gives no rows.
+Columns other than doc_id and text are not read, whatever they are called.
 """
 
 from __future__ import annotations
@@ -26,35 +27,41 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from plinth.llm import repeats
-from plinth.llm.common import mix, ragged, runs, table, texts
+from plinth.llm.common import mix, ragged, table, texts
 
 WINDOW, GRAM = 400, 64
 WIDTH = WINDOW - GRAM + 1
 LEFT = WIDTH - 1
 #: Anchors whose suffixes are sorted together.
 BLOCK_ROWS = 4000
+#: Ranges of offsets into which a hot anchor's windows are split.
+HOT_RANGES = 8
 #: Contexts hashed together, so that they stay in a cache.
 CACHE_ROWS = 1024
 
 
-def byte_marks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n = len(data)
-    if n < WINDOW:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    begin = np.arange(n - GRAM + 1)
-    grams = mix(repeats.span_hashes(data, begin, begin + GRAM))
-    at = repeats.anchors(grams, offsets[:-1], offsets[1:] - WINDOW + 1, WIDTH)
-    doc = np.searchsorted(offsets, at, "right") - 1
-    return grams[at], doc, at - offsets[doc]
+class Bytes:
+    """A run's bytes as symbols."""
 
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        self.data, self.offsets, self.n = data, offsets, np.diff(offsets)
 
-def byte_surround(data: np.ndarray, offsets: np.ndarray, doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    at = offsets[doc] + place
-    lo, hi = np.maximum(offsets[doc], at - LEFT), np.minimum(offsets[doc + 1], at + WINDOW)
-    return lo, hi, at - lo
+    def marks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hash, text number, place in the text) of each anchor."""
+        n = len(self.data)
+        if n < WINDOW:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        begin = np.arange(n - GRAM + 1)
+        grams = mix(repeats.span_hashes(self.data, begin, begin + GRAM))
+        at = repeats.anchors(grams, self.offsets[:-1], self.offsets[1:] - WINDOW + 1, WIDTH)
+        doc = np.searchsorted(self.offsets, at, "right") - 1
+        return grams[at], doc, at - self.offsets[doc]
+
+    def span(self, text: np.ndarray, place: np.ndarray, before: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = self.offsets[text] + place
+        return at - before, at + after
 
 
 class Suffixes:
@@ -245,38 +252,33 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for t in repeats.gathered(batches, BLOCK_ROWS):
         contexts = Contexts(*texts(t.column("context")), t.column("shift").to_numpy())
         contexts.search(np.arange(t.num_rows))
-        key, place = t.column("key").to_numpy(), t.column("place").to_numpy()
         for lo in range(0, t.num_rows, BLOCK_ROWS):
             row, column = np.nonzero(contexts.found[lo : lo + BLOCK_ROWS])
-            first = place[lo + row] + column - LEFT
-            head = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (first[1:] != first[:-1] + 1)])) if len(row) else row
-            tail = np.append(head[1:], len(row))[: len(head)] - 1
-            yield from repeats.span_rows(key[lo + row[head]], first[head], first[tail])
-
-
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch, data, offsets in runs(batches):
-        rows = []
-        for k, (copies, spans) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-            text = data[offsets[k] : offsets[k + 1]]
-            if copies > 1 and len(text) >= WINDOW:
-                rows.append((len(text), len(text), 1, b""))
-            elif spans:
-                gone = repeats.covered(spans, WINDOW, len(text))
-                rows.append((len(text), int(gone.sum()), int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()), text[~gone].tobytes()))
-            else:
-                rows.append((len(text), 0, 0, text.tobytes()))
-        a, b, c, d = zip(*rows, strict=True) if rows else ((), (), (), ())
-        sha = [hashlib.sha256(x).hexdigest() for x in d]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.int64()), pa.array(sha, pa.string()), pa.array(d, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_bytes"])
-
-
-def remove_repeated_bytes(docs: DataFrame) -> DataFrame:
+            yield from repeats.answered(t, lo + row, column)
+
+
+METHOD = repeats.Method(WINDOW, LEFT, Bytes, False, HOT_RANGES, _find)
+
+
+def _cut(text: bytes, which, searched: bool, copies: int) -> tuple:
+    n = len(text)
+    if copies > 1 and n >= WINDOW:
+        kept, gone, spans = b"", n, 1
+    elif which:
+        out = which(n)
+        kept, gone = np.frombuffer(text, np.uint8)[~out].tobytes(), int(out.sum())
+        spans = int(out[0]) + int((out[1:] & ~out[:-1]).sum())
+    else:
+        kept, gone, spans = text, 0, 0
+    return n, gone, spans, hashlib.sha256(kept).hexdigest(), kept
+
+
+MADE = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_bytes binary"
+
+
+def remove_repeated_bytes(docs: DataFrame, hot_pages: int = repeats.HOT_PAGES) -> DataFrame:
     """Per row of docs: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_bytes."""
-    rows = repeats.keyed(docs)
-    spans = repeats.spread(repeats.distinct_texts(rows), byte_marks, byte_surround, _find, once_per_text=False)
-    joined = rows.join(spans.hint("shuffle_hash"), "key", "left").select("doc_id", "text", "copies", "spans")
-    return joined.mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_bytes binary")
+    return repeats.remove_repeats(docs, METHOD, _cut, MADE, hot_pages=hot_pages)
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,12 +43,14 @@ def by_id(df):
     return {r.doc_id: r for r in df.collect()}
 
 
-def test_suffix_dedup(docs, rows):
+@pytest.mark.parametrize("hot_pages", [500, 0])
+def test_suffix_dedup(docs, rows, hot_pages):
     seen, data = Counter(), [(t or "").encode() for _, t, *_ in rows[0]]
     for b in data:
         seen.update(b[i : i + 400] for i in range(len(b) - 399))
-    found = by_id(suffix_dedup.remove_repeated_bytes(docs))
-    assert len(data) == suffix_dedup.remove_repeated_bytes(docs).count()
+    made = suffix_dedup.remove_repeated_bytes(docs, hot_pages).collect()
+    found = {r.doc_id: r for r in made}
+    assert len(data) == len(made)
     for (i, *_), b in zip(rows[0], data, strict=True):
         gone = np.zeros(len(b), bool)
         for k in range(len(b) - 399):
@@ -91,7 +93,8 @@ def test_common_anchor_in_small_sorts(block_rows):
     assert {(i, int(c) - left + shift[i]) for i, c in zip(*np.nonzero(contexts.found), strict=True)} == {(i, at) for (i, at), w in windows.items() if times[shift[i] - at, w] > 1}
 
 
-def test_substring_dedup(docs, rows):
+@pytest.mark.parametrize("hot_pages", [500, 0])
+def test_substring_dedup(docs, rows, hot_pages):
     first = {}
     low = lambda i: -1 if i is None else i
     for i, t, *_ in rows[0]:
@@ -99,7 +102,7 @@ def test_substring_dedup(docs, rows):
         for k in range(len(w) - 12):
             g = tuple(w[k : k + 13])
             first[g] = min(first.get(g, low(i)), low(i))
-    found = by_id(substring_dedup.remove_repeated_words(docs))
+    found = by_id(substring_dedup.remove_repeated_words(docs, hot_pages=hot_pages))
     for i, t, *_ in rows[0]:
         w = words(t)
         gone = np.zeros(len(w), bool)
