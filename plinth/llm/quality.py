@@ -1,12 +1,14 @@
 """Operator 6: quality rules, with DataFrame functions only.
 
-Base rules need the document alone. Beyond them, each line is normalised (A-Z lowered, separators collapsed) and hashed; a line
-that more than LINE_SHARE of a host's distinct texts, and more than LINE_DOCS of them, contain is boilerplate of that host and goes.
-A document is rejected when such lines hold more than DEPLETED_SHARE of its words. Copies of a text count once, so
-that copying a document does not make its lines boilerplate. Hashes are 64-bit (xxHash64): of texts and of lines within a host.
-
-Null source: the host ''. Null text: no words, which fails the base rules. Null doc_id and repeated rows are kept. An empty table gives
-no rows. The operator keeps every column of its input and adds its own; of clashing names, the input's column is replaced.
+Base rules need the document alone. Beyond them, each line is normalised (A-Z lowered, separators collapsed) and hashed, and the distinct
+documents of a host that contain it are counted. A line that more than LINE_DOCS of them contain, and more than the square root of
+their number, is boilerplate of that host and goes: the limit grows with the host, but slower, so that no host is too large for it.
+A document is rejected when such lines hold more than DEPLETED_PERCENT of its words. Documents are distinct by their text, so that copying a
+document, however often, does not make its lines boilerplate. Texts and lines are told apart by 128 bits of hash.
+
+Null source: the host ''. Null text: no words, which fails the base rules. Null doc_id and repeated rows are kept, the latter counting as one
+document of their host. Very long texts are measured whole. An empty table gives no rows. Columns of the input come out only as members of the
+struct ``carried``, so none clashes with what is made.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ SEPARATORS = r"[\x20\x09-\x0D]+"
 SPACES = " \t\n\u000b\f\r"
 SYMBOLS = "#*$%&|<>"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-LINE_DOCS, LINE_SHARE, DEPLETED_SHARE = 20, 0.10, 0.5
+LINE_DOCS, DEPLETED_PERCENT = 3, 30
 WINDOW = 8
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
 
@@ -45,57 +47,65 @@ def _covered(pairs: Column) -> Column:
 
 
 def base_measures(docs: DataFrame) -> DataFrame:
-    """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed."""
-    text = null_safe_text()
+    """docs, which has the columns text, host and perhaps carried, with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed."""
+    text = F.col("text")
     # exploding an array of one keeps the optimizer from moving filters below, and so repeating, what they are made from
-    words = docs.select("*", F.explode(F.array(F.transform(words_of(text), lambda w: F.xxhash64(w)))).alias("_hashes"))
-    windows = (F.when(F.size("_hashes") >= WINDOW, F.transform(F.sequence(F.lit(1), F.size("_hashes") - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("_hashes", i, F.lit(WINDOW))))).otherwise(F.array().cast("array<bigint>")))
-    grams = words.select("*", F.explode(F.array(windows)).alias("_windows"))
+    words = docs.select("*", F.explode(F.array(F.transform(words_of(text), lambda w: F.xxhash64(w)))).alias("hashes"))
+    windows = (F.when(F.size("hashes") >= WINDOW, F.transform(F.sequence(F.lit(1), F.size("hashes") - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("hashes", i, F.lit(WINDOW))))).otherwise(F.array().cast("array<bigint>")))
+    grams = words.select("*", F.explode(F.array(windows)).alias("windows"))
     lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, SPACES, "")) > 0)
     out = (
-        grams.drop(*MEASURES).withColumn("n_words", F.size("_hashes").cast("long"))
+        grams.withColumn("n_words", F.size("hashes").cast("long"))
         .withColumn("word_chars", F.length(F.translate(text, SPACES, "")).cast("long"))
         .withColumn("n_symbols", (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"))
         .withColumn("n_dup_lines", F.aggregate(F.array(lines), F.lit(0), lambda a, x: a + F.size(x) - F.size(F.array_distinct(x))).cast("long"))
-        .select("*", F.explode(F.array(_repeat_words("_windows").cast("long"))).alias("n_repeat_words"))
+        .select("*", F.explode(F.array(_repeat_words("windows").cast("long"))).alias("n_repeat_words"))
     )
     failed = (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30)
-    return out.withColumn("base_failed", failed).drop("_hashes", "_windows")
+    return out.withColumn("base_failed", failed).drop("hashes", "windows")
 
 
 def normalised(line: Column) -> Column:
     return F.translate(F.trim(F.regexp_replace(line, SEPARATORS, " ")), UPPER, LOWER)
 
 
-def boilerplate(docs: DataFrame, line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE) -> DataFrame:
-    """(host, text_hash, removed_words, lines): for each text that has boilerplate lines of its host, their words and hashes."""
-    text = null_safe_text()
-    each = docs.select(F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host"), F.xxhash64(text).alias("text_hash"), F.posexplode(F.split(text, "\n")).alias("place", "line"))
+def _hashes(text: Column) -> list[Column]:
+    """Two 64-bit hashes with different seeds."""
+    return [F.xxhash64(text), F.xxhash64(F.lit(1), text)]
+
+
+def boilerplate(docs: DataFrame, line_docs: int = LINE_DOCS) -> DataFrame:
+    """(host, text_a, text_b, removed_words, lines): for each text (by its hashes) that has boilerplate lines of its host, their words and hashes."""
+    a, b = _hashes(F.col("text"))
+    named = docs.select("host", a.alias("text_a"), b.alias("text_b"), "text")
+    each = named.select("host", "text_a", "text_b", F.posexplode(F.split("text", "\n")).alias("place", "line"))
     normal = each.filter(F.length(F.translate("line", SPACES, "")) > 0).withColumn("line", normalised(F.col("line")))
-    hashed = normal.select("host", "text_hash", "place", F.xxhash64("line").alias("line"), F.size(F.split("line", " ")).alias("words"))
+    a, b = _hashes(F.col("line"))
+    hashed = normal.select("host", "text_a", "text_b", "place", a.alias("line_a"), b.alias("line_b"), F.size(F.split("line", " ")).alias("words"))
     # copies of a text meet here, so that neither a large group of copies nor a common line gathers in one task
-    once = hashed.groupBy("host", "text_hash", "line", "place").agg(F.first("words").alias("words")).groupBy("host", "text_hash", "line").agg(F.sum("words").alias("words"))
-    counts = once.groupBy("host", "line").agg(F.count("*").alias("texts")).filter(F.col("texts") > line_docs)
-    hosts = docs.select(F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host"), F.xxhash64(text).alias("text_hash")).distinct().groupBy("host").agg(F.count("*").alias("host_texts"))
-    common = counts.join(hosts, "host").filter(F.col("texts") > F.col("host_texts") * line_share).select("host", "line")
-    return once.join(common, ["host", "line"]).groupBy("host", "text_hash").agg(F.sum("words").alias("removed_words"), F.collect_set("line").alias("lines"))
-
-
-def quality_rules(docs: DataFrame, line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE, depleted_share: float = DEPLETED_SHARE) -> DataFrame:
-    """docs with MEASURES and clean_text: the text without its host's boilerplate lines."""
-    keyed = base_measures(docs).withColumn("_host", F.coalesce(F.col("source").cast("string"), F.lit(""))).withColumn("_hash", F.xxhash64(null_safe_text()))
-    found = boilerplate(docs, line_docs, line_share).select(F.col("host").alias("_host"), F.col("text_hash").alias("_hash"), F.col("removed_words").alias("_removed"), F.col("lines").alias("_lines"))
-    both = keyed.join(found, ["_host", "_hash"], "left")
-    left = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("_lines", F.xxhash64(normalised(x))))
-    return (
-        both.withColumn("kept", ~F.col("base_failed") & (F.coalesce("_removed", F.lit(0)) <= F.col("n_words") * depleted_share))
-        .withColumn("clean_text", F.when(F.col("_lines").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")))
-        .drop("_host", "_hash", "_removed", "_lines")
-    )
+    text, line = ["host", "text_a", "text_b"], ["host", "line_a", "line_b"]
+    once = hashed.groupBy(*text, "line_a", "line_b", "place").agg(F.first("words").alias("words")).groupBy(*text, "line_a", "line_b").agg(F.sum("words").alias("words"))
+    # words is counted, and not rows, so that both uses of ``once`` need the same columns and share its exchange
+    counts = once.groupBy(*line).agg(F.count("words").alias("texts")).filter(F.col("texts") > line_docs)
+    hosts = named.select(*text).distinct().groupBy("host").agg(F.count("*").alias("host_texts"))
+    common = counts.join(hosts, "host").filter(F.col("texts") * F.col("texts") > F.col("host_texts")).select(*line)
+    return once.join(common, line).groupBy(*text).agg(F.sum("words").alias("removed_words"), F.collect_set(F.struct("line_a", "line_b")).alias("lines"))
+
+
+def quality_rules(docs: DataFrame, carry: list[str], line_docs: int = LINE_DOCS, depleted_percent: int = DEPLETED_PERCENT) -> DataFrame:
+    """carried (a struct of docs' columns ``carry``), MEASURES and clean_text: the text without its host's boilerplate lines."""
+    plain = docs.select(F.struct(*carry).alias("carried"), null_safe_text().alias("text"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host"))
+    a, b = _hashes(F.col("text"))
+    keyed = base_measures(plain).withColumns({"text_a": a, "text_b": b})
+    both = keyed.join(boilerplate(plain, line_docs), ["host", "text_a", "text_b"], "left")
+    left = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("lines", F.struct(*(h.alias(n) for h, n in zip(_hashes(normalised(x)), ("line_a", "line_b"), strict=True)))))
+    kept = ~F.col("base_failed") & (F.coalesce("removed_words", F.lit(0)) * 100 <= F.col("n_words") * depleted_percent)
+    clean = F.when(F.col("lines").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
+    return both.withColumns({"kept": kept, "clean_text": clean}).select("carried", *MEASURES, "clean_text")
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(table(spark, sf_dir, "documents")).select("doc_id", *MEASURES)
+    return quality_rules(table(spark, sf_dir, "documents"), ["doc_id"]).select("carried.doc_id", *MEASURES)
 
 
 OP6_SQL = rf"""
@@ -109,13 +119,13 @@ t AS (SELECT DISTINCT host, text FROM d),
 l AS (SELECT host, text, translate(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g')), '{UPPER}', '{LOWER}') AS line FROM (SELECT host, text, unnest(string_split(text, chr(10))) AS line FROM t)),
 o AS (SELECT host, text, line, sum(len(string_split(line, ' '))) AS words FROM l WHERE line <> '' GROUP BY host, text, line),
 h AS (SELECT host, count(*) AS host_texts FROM t GROUP BY host),
-b AS (SELECT o.host, line FROM o JOIN h USING (host) GROUP BY o.host, line, host_texts HAVING count(*) > {LINE_DOCS} AND count(*) > host_texts * CAST({LINE_SHARE} AS DOUBLE)),
+b AS (SELECT o.host, line FROM o JOIN h USING (host) GROUP BY o.host, line, host_texts HAVING count(*) > {LINE_DOCS} AND count(*) * count(*) > host_texts),
 x AS (SELECT host, text, sum(words) AS removed FROM o JOIN b USING (host, line) GROUP BY host, text),
 s AS (SELECT doc_id, host, text, len(words)::BIGINT AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
   (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
   (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words FROM w LEFT JOIN c USING (r)),
 f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM s)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND coalesce(removed, 0) <= n_words * CAST({DEPLETED_SHARE} AS DOUBLE) AS kept
+  NOT base_failed AND coalesce(removed, 0) * 100 <= n_words * {DEPLETED_PERCENT} AS kept
 FROM f LEFT JOIN x USING (host, text)
 """

@@ -194,7 +194,7 @@ def test_differencing_balances():
 
 
 def test_quality(docs, rows):
-    found = by_id(quality.quality_rules(docs, line_docs=5))
+    found = {r.carried.doc_id: r for r in quality.quality_rules(docs, ["doc_id", "n_words"], line_docs=5).collect()}
     for i, t, *_ in rows[0]:
         w = words(t)
         g = [tuple(w[k : k + 8]) for k in range(len(w) - 7)]
@@ -257,7 +257,7 @@ def test_alignment_is_exact():
 
 def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
-    for made in (suffix_dedup.remove_repeated_bytes(none), substring_dedup.remove_repeated_words(none), simhash.near_duplicates(none), packing.pack_documents(none, "word_bpe_49k.json", 1), token_counts.count_tokens(none, "piece_bpe_32k.model"), sharding.shard_by_bytes(none), quality.quality_rules(none), licences.find_licences(none), decontamination.contaminated(none, spark.createDataFrame([], "item_id long, text string")), token_output.read_token_files(spark, token_output.write_token_files(none, shared_dir(spark), "byte_bpe_50k.json", 2, 50257))):
+    for made in (suffix_dedup.remove_repeated_bytes(none), substring_dedup.remove_repeated_words(none), simhash.near_duplicates(none), packing.pack_documents(none, "word_bpe_49k.json", 1), token_counts.count_tokens(none, "piece_bpe_32k.model"), sharding.shard_by_bytes(none), quality.quality_rules(none, ["doc_id"]), licences.find_licences(none), decontamination.contaminated(none, spark.createDataFrame([], "item_id long, text string")), token_output.read_token_files(spark, token_output.write_token_files(none, shared_dir(spark), "byte_bpe_50k.json", 2, 50257))):
         assert made.count() == 0
 
 
