@@ -5,11 +5,14 @@ encodes to just these two. So reading left to right needs the last tokens at the
 open may have begun. Those, with their counts relative to now, are a state; a transition reads a character and has the number of tokens
 that it adds. States and transitions are compiled when first met and kept in a hash table; there are finitely many.
 
-Texts are read in chunks of CHUNK characters, all chunks in step. Where a space begins a word, and no piece spans such a place,
-every state leads to the same one, so a chunk with such a place maps every entry state to one exit state that is known without
-what precedes it. A scan composes these maps: the part before the place is then read from the exit of the last chunk with one.
+Texts are cut into chunks of CHUNK characters, which are all read in step. What precedes a chunk is only known to the chunks before it, so
+each chunk gets a map from entry states to (exit state, tokens). It begins with the state that the LOOK characters before the chunk lead to
+from the start, which nearly always is the right one, as states forget; then every exit of a chunk that its successor's map lacks becomes an
+entry there, until the maps are closed. Maps compose by a parallel prefix scan: in each round every entry takes over what the chunks twice as
+far on add, so n chunks take log2 n rounds, whatever the text has for spaces.
 
-Null text: an empty text. Null doc_id and repeated rows are kept. An empty table gives no rows. Columns other than doc_id and text are not read.
+Null text: an empty text. Null doc_id and repeated rows are kept. Very long texts are counted whole, in chunks. An empty table gives no rows.
+Columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -24,10 +27,12 @@ from pyspark.sql import functions as F
 from plinth.llm.common import runs, table
 from plinth.llm.tokens import vocabulary_path
 
-CHUNK = 512
+CHUNK, LOOK = 512, 32
 SPACE = "▁"
+#: Chunks that are read in step; the exit state of a text that goes on is where the next ones start.
+TOGETHER = 2048
 #: A worker forgets all it has compiled beyond so many transitions.
-TRANSITIONS = 1_000_000
+TRANSITIONS = 500_000
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -42,7 +47,7 @@ class Transducer:
         ordinary = [i for i in range(n) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
         self.score = {model.id_to_piece(i): (model.get_score(i), -i) for i in ordinary}
         self.prefixes = {p[:k] for p in self.score for k in range(1, len(p) + 1)}
-        #: no piece has a space after something else
+        #: no piece has a space after something else, so where a space begins a word every state leads to the start
         self.resets = not any(SPACE in p.lstrip(SPACE) for p in self.score)
         self.alphabet = {c: k for k, c in enumerate(sorted({c for p in self.score for c in p}))}
         if not any(model.is_byte(i) for i in range(n)):
@@ -186,8 +191,6 @@ class Transducer:
         n = len(offsets) - 1
         if len(data) == 0:
             return np.zeros(n, np.int64)
-        if self.used > TRANSITIONS:
-            self.clear()
         codes = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le", "surrogatepass"), np.uint32)
         chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
         codes = np.where(codes == 0x20, np.uint32(ord(SPACE)), codes)
@@ -196,27 +199,61 @@ class Transducer:
         begin = (chars[:-1] + np.cumsum(full) - full)[full]
         end = np.append(begin[1:], len(codes))
         letters = self.classes[codes].astype(np.int64)
-        space = codes == ord(SPACE)
-        sync = space.copy()
-        sync[1:] &= ~space[:-1]
-        sync[:] &= self.resets
-        sync[begin] = True
         chunks = -(-(end - begin) // CHUNK)
-        doc = np.repeat(np.arange(len(begin)), chunks)
-        lo = begin[doc] + (np.arange(len(doc)) - np.repeat(np.cumsum(chunks) - chunks, chunks)) * CHUNK
-        hi = np.minimum(lo + CHUNK, end[doc])
-        places = np.flatnonzero(sync)
-        following = np.append(places, len(codes))[np.searchsorted(places, np.concatenate([lo, hi]))]
-        first, after = following[: len(lo)], following[len(lo) :]
-        has = first < hi
-        lo, hi, doc, first, after = lo[has], hi[has], doc[has], first[has], after[has]
-        state, body = self.read(letters, first, hi, np.full(len(lo), self.start))
-        # what lies between a chunk with such a place and the next place is read from that chunk's exit
-        _, head = self.read(letters, hi, np.minimum(after, end[doc]), state)
+        doc, lead = np.repeat(np.arange(len(begin)), chunks), np.cumsum(chunks) - chunks
+        lo = begin[doc] + (np.arange(len(doc)) - lead[doc]) * CHUNK
+        hi, total, state = np.minimum(lo + CHUNK, end[doc]), np.zeros(len(begin), np.int64), self.start
+        for at in range(0, len(lo), TOGETHER):
+            part = slice(at, at + TOGETHER)
+            if self.used > TRANSITIONS:
+                known = self.states[state]
+                self.clear()
+                state = self._number(known)
+            mine = doc[part]
+            first = np.flatnonzero(np.concatenate([[True], mine[1:] != mine[:-1]]))
+            entry = np.full(len(first), self.start)
+            if lead[mine[0]] < at:
+                entry[0] = state
+            tokens, exits = self._composed(letters, lo[part], hi[part], first, np.append(first[1:], len(mine)) - 1, entry)
+            total[mine[first]] += tokens
+            state = int(exits[-1])
         out = np.zeros(n, np.int64)
-        out[full] = np.bincount(doc, body + head, len(begin)).astype(np.int64)
+        out[full] = total
         return out
 
+    def _composed(self, letters: np.ndarray, lo: np.ndarray, hi: np.ndarray, first: np.ndarray, last: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens, exit state) of texts, or parts of texts, whose chunks letters[lo:hi] are numbered first..last, from the states ``begin``."""
+        inner, guess = np.ones(len(lo), bool), np.empty(len(lo), np.int64)
+        inner[first] = False
+        guess[first] = begin
+        guess[inner], _ = self.read(letters, lo[inner] - LOOK, lo[inner], np.full(int(inner.sum()), self.start))
+        ends = np.zeros(len(lo), bool)
+        ends[last] = True
+        # maps as rows (chunk, entry, exit, tokens); of the newest rows, exits that the next chunk's map lacks are entries there
+        new = (np.arange(len(lo)), guess, *self.read(letters, lo, hi, guess))
+        rows = [new]
+        known = new[0] << 32 | new[1]
+        while True:
+            on = ~ends[new[0]]
+            wanted = np.setdiff1d((new[0][on] + 1) << 32 | new[2][on], known)
+            if not len(wanted):
+                break
+            chunk, entry = wanted >> 32, wanted & 0xFFFFFFFF
+            new = (chunk, entry, *self.read(letters, lo[chunk], hi[chunk], entry))
+            rows.append(new)
+            known = np.concatenate([known, wanted])
+        chunk, entry, exit_, tokens = (np.concatenate(x) for x in zip(*rows, strict=True))
+        order = np.argsort(known)
+        known, chunk, exit_, tokens = known[order], chunk[order], exit_[order], tokens[order]
+        over = len(known)  # after a text's last chunk
+        follow = np.where(ends[chunk], over, np.searchsorted(known, (chunk + 1) << 32 | exit_))
+        tail = np.where(ends[chunk], np.arange(over), follow)
+        follow, tokens = np.append(follow, over), np.append(tokens, 0)
+        while (follow != over).any():
+            tokens, follow, tail = tokens + tokens[follow], follow[follow], tail[tail]
+        at = np.searchsorted(known, first << 32 | begin)
+        return tokens[at], exit_[tail[at]]
+
 
 def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 4096) -> DataFrame:
     """Per row of docs: doc_id, n_bytes, n_tokens, over_limit."""
