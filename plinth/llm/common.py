@@ -38,12 +38,31 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/plinth-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to shared storage and read it back: lineage ends there, and lost executors cost nothing."""
+#: Folders that ``settle`` has written and nobody has discarded.
+_SETTLED: list[str] = []
+
+
+def settle(df: DataFrame, name: str, instead_of: DataFrame | None = None) -> DataFrame:
+    """Write ``df`` to shared storage and read it back: lineage ends there, and lost executors cost nothing.
+
+    ``instead_of``: an earlier result of this function that nothing but ``df`` needs; its folder goes once the new one is written."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _SETTLED.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.settled_path = path
+    if instead_of is not None and hasattr(instead_of, "settled_path"):
+        discard(spark, [instead_of.settled_path])
+    return out
+
+
+def discard(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Delete settled folders, by default all of this session: for when every result that reads them has been written."""
+    for path in list(_SETTLED) if paths is None else paths:
+        parent = spark._jvm.org.apache.hadoop.fs.Path(path.rpartition("/")[0])
+        parent.getFileSystem(spark._jsc.hadoopConfiguration()).delete(parent, True)
+        _SETTLED.remove(path)
 
 
 def partitions(spark: SparkSession) -> int:

@@ -8,9 +8,12 @@ occurrence lies in one band. Bands that reach the bound are verified by a banded
 
 Every item with a word is searched; as bytes are compared, a very short one is also found inside of words. The benchmark is read in
 blocks of BLOCK_BYTES, each of which is sent to the executors; the documents are read once for each block, whole, and never moved.
+Shared grams are counted in slices, so that texts that repeat a gram of an item need memory for their bands only.
 
-Result: a row per document and item found: doc_id, item_id, edits (the fewest), doc_end (byte place after that occurrence). Null text: nothing is found.
-Null doc_id and repeated rows are kept. Empty tables give no rows. Items with null text or only separators are not searched. Other columns are not read.
+Result: a row per document and item found: doc_id, item_id, edits (the fewest), doc_end (byte place after that occurrence; of equally good ones, the
+first in the first band that has one). Null text: nothing is found. Null doc_id and repeated rows are kept. Very long texts are searched whole, in
+memory that grows with one text. Empty tables give no rows. Items with null text or only separators are not searched; items of one text or one
+item_id are found each on its own. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -23,10 +26,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plinth.llm.common import SEPARATOR, ragged, runs, table
+from plinth.llm.common import SEPARATOR, ragged, runs, settle, table
 
 Q, RATE = 8, 0.1
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
+#: Shared grams that are expanded at once, and bands whose counts wait to be summed.
+SLICE_HITS, HELD_BANDS = 1 << 20, 2 << 20
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[0x41:0x5B] += 0x20
 _FOLD[SEPARATOR] = 0x20
@@ -39,6 +44,12 @@ def grams(data: np.ndarray, q: int = Q) -> np.ndarray:
     return np.ndarray((n,), "<u8", data.tobytes() + bytes(8), 0, (1,)) & np.uint64((1 << 8 * q) - 1)
 
 
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts by key, summed."""
+    key, to = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return key, np.bincount(to, np.concatenate([n for _, n in parts]), len(key)).astype(np.int64)
+
+
 class Items:
     """An index of a block of benchmark items."""
 
@@ -67,8 +78,9 @@ class Items:
     def _slot(code: np.ndarray) -> np.ndarray:
         return ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
 
-    def hits(self, data: np.ndarray, offsets: np.ndarray, q: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(place, document, item, item place) of each shared gram of q bytes; of an item that is one gram without edits, the first in each document."""
+    def hits(self, data: np.ndarray, offsets: np.ndarray, q: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(place, document, item, item place) of each shared gram of q bytes, about SLICE_HITS at a time; of an item that is one gram
+        without edits, the first in each document."""
         names, first, items, places, flags = self.index[q]
         code = grams(data, q)
         at = np.flatnonzero(flags[self._slot(code)])
@@ -76,32 +88,45 @@ class Items:
         doc = np.searchsorted(offsets, at, "right") - 1
         same = (names[k] == code[at]) & (at + q <= offsets[doc + 1])
         at, k, doc = at[same], k[same], doc[same]
+        del code, same
         n = first[k + 1] - first[k]
-        which = ragged(first[k], n)
-        at, doc, item, place = np.repeat(at, n), np.repeat(doc, n), items[which], places[which]
-        whole = (self.size[item] == q) & (self.edits[item] == 0)
-        if whole.any():
-            keep, to = ~whole, np.flatnonzero(whole)
-            keep[to[np.unique(doc[to] * len(self.size) + item[to], return_index=True)[1]]] = True
-            at, doc, item, place = at[keep], doc[keep], item[keep], place[keep]
-        return at, doc, item, place
+        total, lo = np.cumsum(n), 0
+        met = np.zeros(0, np.int64)  # documents and items, of those that need one place only
+        while lo < len(at):
+            hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + SLICE_HITS, "right")))
+            part = slice(lo, hi)
+            which = ragged(first[k[part]], n[part])
+            here, of, item, place = np.repeat(at[part], n[part]), np.repeat(doc[part], n[part]), items[which], places[which]
+            whole = (self.size[item] == q) & (self.edits[item] == 0)
+            if whole.any():
+                keep, to = ~whole, np.flatnonzero(whole)
+                pair, one = np.unique(of[to] * len(self.size) + item[to], return_index=True)
+                new = ~np.isin(pair, met)
+                keep[to[one[new]]] = True
+                met = np.union1d(met, pair)
+                here, of, item, place = here[keep], of[keep], item[keep], place[keep]
+            yield here, of, item, place
+            lo = hi
 
     def candidates(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, item, first diagonal of the band, within the document) of bands that reach their bound."""
-        none = np.zeros(0, np.int64)
-        at, doc, item, place = (np.concatenate(x) for x in zip((none,) * 4, *(self.hits(data, offsets, q) for q in self.index), strict=True))
-        # a document and item that share too few q-grams altogether need no bands
-        pair = doc * len(self.size) + item
-        enough = np.bincount(pair, minlength=(len(offsets) - 1) * len(self.size))[pair] >= self.need[item] if len(offsets) * len(self.size) <= 1 << 24 else np.ones(len(pair), bool)
-        at, item, place, doc, pair = at[enough], item[enough], place[enough], doc[enough], pair[enough]
-        step = self.edits[item] + 1
-        diagonal = at - offsets[doc] - place + self.size[item]  # never negative
-        band = diagonal // step
         width = int(np.max(offsets)) + int(self.size.max(initial=0)) + 2
-        also = (diagonal - band * step < self.edits[item]) & (band > 0)  # it lies in the overlap with the band before
-        key = np.concatenate([pair * width + band, pair[also] * width + band[also] - 1])
-        band_key, count = np.unique(key, return_counts=True)
-        pair, band = np.divmod(band_key, width)
+        key, count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        held = 0
+        for q in self.index:
+            for at, doc, item, place in self.hits(data, offsets, q):
+                step = self.edits[item] + 1
+                diagonal = at - offsets[doc] - place + self.size[item]  # never negative
+                band, pair = diagonal // step, doc * len(self.size) + item
+                also = (diagonal - band * step < self.edits[item]) & (band > 0)  # it lies in the overlap with the band before
+                waiting.append(np.unique(np.concatenate([pair * width + band, pair[also] * width + band[also] - 1]), return_counts=True))
+                held += len(waiting[-1][0])
+                if held > HELD_BANDS:
+                    key, count = _added([(key, count), *waiting])
+                    waiting, held = [], 0
+        key, count = _added([(key, count), *waiting])
+        pair, band = np.divmod(key, width)
         doc, item = np.divmod(pair, max(1, len(self.size)))
         full = count >= self.need[item] if len(item) else np.zeros(0, bool)
         doc, item, band = doc[full], item[full], band[full]
@@ -180,11 +205,11 @@ def _empty(spark: SparkSession, schema) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, limit: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, item_id, edits, doc_end for each document and item found."""
     spark, schema, out = docs.sparkSession, "doc_id long, item_id long, edits long, doc_end long", None
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    for block in item_blocks(benchmark, rate):
+    for block in item_blocks(benchmark, rate, limit):
         sent = spark.sparkContext.broadcast(block)
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
@@ -198,10 +223,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> D
     return _empty(spark, schema) if out is None else out
 
 
-def without_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, limit: int = BLOCK_BYTES) -> DataFrame:
     """The rows of docs, with all their columns, in which no item is found."""
-    spark = docs.sparkSession
-    for block in item_blocks(benchmark, rate):
+    spark, before = docs.sparkSession, None
+    for number, block in enumerate(item_blocks(benchmark, rate, limit)):
+        if number:  # the blocks of one stage would stand in memory together
+            docs = before = settle(docs, "clean", before)
         sent = spark.sparkContext.broadcast(block)
 
         def clean(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:

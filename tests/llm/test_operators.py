@@ -269,3 +269,81 @@ def test_pieces_joined_are_the_text(name):
     encoder = PieceEncoder(vocabulary_path(name))
     ids, first = encoder.encode(*texts(pa.array(made)))
     assert all(encoder.library.encode(t, add_special_tokens=False).ids == ids[a:b].tolist() for t, a, b in zip(made, first, first[1:], strict=False))
+
+
+def test_sharding_is_balanced(spark):
+    r = random.Random(9)
+    rows = [(i, "x" * min(4000, int(r.paretovariate(0.8) * 20)) + str(i)) for i in range(3000)] + [(5000 + i, "same text") for i in range(300)]
+    made = sharding.shard_by_bytes(spark.createDataFrame(rows, "doc_id long, text string").repartition(7), 11).collect()
+    total = [0] * 11
+    for x in made:
+        total[x.shard] += x.size
+    assert len({x.shard for x in made if x.doc_id >= 5000}) == 1
+    # no shard is further from the others than the smallest differences of group sizes allow
+    assert max(total) - min(total) <= 40
+
+
+@pytest.mark.parametrize("batch", [7, 100, 20_000])
+def test_batches_of_groups_balance(batch):
+    sizes = np.random.default_rng(batch).integers(16, 5000, 2500)
+    bins = sharding.bins_of(sizes, 8, batch)
+    total = np.bincount(bins, sizes, 8)
+    assert total.sum() == sizes.sum() and total.max() - total.min() <= (20 if batch > 50 else 200)
+
+
+def test_bit_blocks_lose_no_link():
+    masks = simhash.bit_blocks(3)
+    r = random.Random(1)
+    assert len(masks) == 10 and all(bin(m).count("1") in (25, 26) for m in masks)
+    for _ in range(3000):
+        differ = sum(1 << b for b in r.sample(range(64), 3))
+        assert any(differ & m == 0 for m in masks)
+
+
+def test_long_repetitive_text_is_bounded():
+    import tracemalloc
+
+    item, text = b"a" * 100, b"a" * 2_000_000
+    items = decontamination.Items([0], [item], 0.1)
+    tracemalloc.start()
+    found = items.find(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [x.tolist() for x in found] == [[0], [0], [0], [100]] and peak < 500 << 20
+
+
+def test_blocks_of_the_benchmark_are_searched_one_by_one(spark, docs, rows):
+    bench = spark.createDataFrame([(k, rows[0][7][1][k * 5 : k * 5 + 60]) for k in range(6)], "item_id long, text string")
+    whole = sorted(map(tuple, decontamination.contaminated(docs, bench).collect()))
+    assert sorted(map(tuple, decontamination.contaminated(docs, bench, limit=100).collect())) == whole and whole
+    left = {r.doc_id for r in decontamination.without_contaminated(docs, bench, limit=100).collect()}
+    assert left == {i for i, *_ in rows[0]} - {d for d, *_ in whole}
+
+
+def test_contaminated_is_brute_force(spark):
+    """Every document and item within the edit budget, by alignment with all of the document."""
+    r = random.Random(12)
+    prose = lambda n: " ".join("".join(r.choice("abcdefg") for _ in range(r.randint(2, 7))) for _ in range(n))
+    items = [(k, prose(r.randint(3, 20))) for k in range(12)] + [(12, "A  b"), (13, "a\tb")]
+    made = []
+    for k in range(60):
+        item = bytearray(items[k % 12][1].encode())
+        for _ in range(r.randint(0, len(item) // 8)):
+            at = r.randrange(len(item))
+            r.choice([lambda at=at, x=item: x.insert(at, 122), lambda at=at, x=item: x.pop(at), lambda at=at, x=item: x.__setitem__(at, 121)])()
+        made.append((k, f"{prose(r.randint(0, 9))} {item.decode().upper() if k % 3 else item.decode()}\n{prose(r.randint(0, 9))}"))
+    made += [(100, None), (101, ""), (102, "x a b y"), (103, made[0][1]), (None, made[1][1]), made[2]]
+    fold = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), re.sub("[\x20\x09-\x0d]", " ", t or "")).encode()
+    want = Counter()
+    for d, t in made:
+        for i, x in items:
+            item, doc = fold(x), fold(t)
+            row = [0] * (len(doc) + 1)
+            for a, c in enumerate(item, 1):
+                last, row = row, [a]
+                for b, e in enumerate(doc, 1):
+                    row.append(min(last[b - 1] + (c != e), last[b] + 1, row[b - 1] + 1))
+            if min(row) <= len(item) // 10:
+                want[d, i, min(row)] += 1
+    found = decontamination.contaminated(spark.createDataFrame(made, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert Counter((x.doc_id, x.item_id, x.edits) for x in found) == want and len(want) > 20
