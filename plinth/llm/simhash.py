@@ -1,13 +1,15 @@
 """Operator 8: SimHash near-duplicates by tiled exact comparison.
 
 Fingerprints are compared in tiles with exclusive-or and bit counts; pairs of tiles whose population counts differ by more than
-the radius are skipped. Distinct fingerprints only are compared. Two that differ in at most r bits agree in one of r + 1 bit
-blocks, so tiles are laid out by block value and only tiles with a common value meet: no link is lost, and work does not grow with
-the square of the corpus. A block value with more than HOT fingerprints is cut into chunks whose pairs go to different tasks.
+the radius are skipped. Distinct fingerprints only are compared. Of r + 2 bit blocks, two that differ in at most r bits agree in
+two, so tiles are laid out by the values of every two blocks, about 26 bits, and only tiles with common values meet: no link is lost.
+Of n fingerprints with no structure, about 10 n^2 / 2^26 / 2 pairs are compared, so 10^9 take what 2.7 * 10^5 would if all tiles
+met. Values with more than HOT fingerprints are cut into chunks whose pairs go to different tasks.
 Each task returns a spanning forest of its links; components are the fixed point of large-star and small-star steps.
 
 Null text: no words, fingerprint zero. Null doc_id never becomes a component's id unless it has no other. Rows with equal
-doc_id are one node for each fingerprint. An empty table gives no rows. Columns other than doc_id and text are not read.
+doc_id are one node for each fingerprint. Very long texts are fingerprinted whole. An empty table gives no rows. Columns other than doc_id and
+text are not read.
 """
 
 from __future__ import annotations
@@ -103,17 +105,18 @@ def tile_links(fp: np.ndarray, key: np.ndarray, radius: int, tile: int = TILE) -
     return forest(np.concatenate(found_a), np.concatenate(found_b))
 
 
-def bit_blocks(radius: int) -> list[tuple[int, int]]:
-    """(shift, width) of radius + 1 blocks of 64 bits."""
-    edges = [round(64 * k / (radius + 1)) for k in range(radius + 2)]
-    return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
+def bit_blocks(radius: int) -> list[int]:
+    """Masks of every two of radius + 2 blocks of 64 bits: fingerprints that differ in at most ``radius`` bits are equal under one of them."""
+    edges = [round(64 * k / (radius + 2)) for k in range(radius + 3)]
+    blocks = [(1 << b) - (1 << a) for a, b in zip(edges, edges[1:], strict=False)]
+    return [x | y for k, x in enumerate(blocks) for y in blocks[k + 1 :]]
 
 
 def links(fingerprints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(a, b) with a > b: a forest, from each task, of the links among distinct fingerprints ``fp``."""
     parts = partitions(fingerprints.sparkSession)
-    blocks = bit_blocks(radius)
-    keys = F.array(*(F.struct(F.lit(k).cast("long").alias("block"), F.shiftrightunsigned("fp", s).bitwiseAND(F.lit((1 << w) - 1)).alias("value")) for k, (s, w) in enumerate(blocks)))
+    signed = lambda mask: mask - (1 << 64) if mask >> 63 else mask
+    keys = F.array(*(F.struct(F.lit(k).cast("long").alias("block"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("value")) for k, m in enumerate(bit_blocks(radius))))
     rows = fingerprints.select("fp", F.explode(keys).alias("k")).select("fp", "k.block", "k.value")
     hot = rows.groupBy("block", "value").count().filter(F.col("count") > HOT).select("block", "value", F.ceil(F.col("count") / HOT).cast("int").alias("chunks"))
     dealt = rows.join(hot, ["block", "value"], "left").withColumn("chunks", F.coalesce("chunks", F.lit(1))).withColumn("mine", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
@@ -149,7 +152,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         small = large.groupBy("a").agg(F.min("b").alias("m"))
         moved = large.join(small, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = settle(moved.union(small.select("a", "m")).distinct(), "links")
+        now = settle(moved.union(small.select("a", "m")).distinct(), "links", now)
         after = seen(now)
         if after == state:
             break
