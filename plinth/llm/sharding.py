@@ -1,12 +1,12 @@
 """Operator 10: shards of nearly equal bytes, by Karmarkar-Karp differencing.
 
 Equal texts form an indivisible group, so all copies of a text share a shard. Each task combines its groups' partial
-partitions (k sorted sums): again and again the two with the largest spread, laid oppositely. What the tasks are left
-with, k sums each, is combined in the same way on the driver: k numbers for each task, whatever the row count.
-A shard exceeds the others only if one group alone is larger than a fair share.
+partitions (k sorted sums): again and again the two with the largest spread, laid oppositely; in batches of BATCH groups, and then
+those of the batches. What the tasks are left with, k sums each, is combined in the same way on the driver: k numbers for each
+task, whatever the row count. A shard exceeds the others only if one group alone is larger than a fair share.
 
-Null text counts as an empty text (16 bytes). Null doc_id and repeated rows are kept, each with a slot of its own.
-An empty table gives no rows. Columns other than doc_id and text are not read.
+Null text counts as an empty text (16 bytes). Null doc_id and repeated rows are kept, each with a slot of its own. Very long texts
+count whole. An empty table gives no rows. Columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from plinth.llm.common import null_safe_text, partitions, settle, table
 
 ROW_BYTES = 16
+#: Groups whose partial partitions are combined together.
+BATCH = 20_000
 
 
 def differencing(parts: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
@@ -54,6 +56,23 @@ def differencing(parts: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]
     return [finals[i] for i in range(len(parts))], total
 
 
+def bins_of(sizes: np.ndarray, shards: int, batch: int = BATCH) -> np.ndarray:
+    """The bin of each group. Groups are dealt in batches, whose partitions are then combined: the partial partitions of one batch stand in memory."""
+    out, sums = np.empty(len(sizes), np.int32), []
+    for lo in range(0, len(sizes), batch):
+        part = sizes[lo : lo + batch]
+        single = np.zeros((len(part), shards), np.int64)
+        single[:, 0] = part
+        bins, total = differencing(list(single))
+        out[lo : lo + batch] = [b[0] for b in bins]
+        sums.append(total)
+    if len(sums) > 1:
+        for number, to in enumerate(differencing(sums)[0]):
+            part = slice(number * batch, (number + 1) * batch)
+            out[part] = to[out[part]]
+    return out
+
+
 def shard_groups(groups: DataFrame, shards: int) -> DataFrame:
     """groups (key, n, bytes) -> the same with the task that dealt each and its bin there."""
 
@@ -63,14 +82,8 @@ def shard_groups(groups: DataFrame, shards: int) -> DataFrame:
             return
         t = pa.Table.from_batches(rows)
         sizes = t.column("bytes").to_numpy()
-        single = []
-        for s in sizes.tolist():
-            x = np.zeros(shards, np.int64)
-            x[0] = s
-            single.append(x)
-        bins, _ = differencing(single)
         t = t.append_column("task", pa.array(np.full(len(sizes), TaskContext.get().partitionId(), np.int64)))
-        t = t.append_column("bin", pa.array(np.fromiter((b[0] for b in bins), np.int64, len(bins))))
+        t = t.append_column("bin", pa.array(bins_of(sizes, shards).astype(np.int64)))
         yield from t.combine_chunks().to_batches()
 
     return groups.mapInArrow(deal, "key binary, n long, bytes long, task long, bin long")
