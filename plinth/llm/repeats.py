@@ -137,6 +137,19 @@ class Page:
                 lo += part.num_rows
 
 
+ASKED = "bucket long, page long, hashes binary, several binary"
+
+
+def by_bucket(page: int, h: np.ndarray, held: np.ndarray, parts: int) -> pa.Table:
+    """A page's hashes, each with a number or a flag, packed by the bucket they are dealt to."""
+    bucket = ((h >> np.uint64(33)) % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    h, held, bucket = h[order], held[order], bucket[order]
+    edges = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])), len(bucket)) if len(bucket) else np.zeros(1, np.int64)
+    ends = list(zip(edges.tolist(), edges[1:].tolist(), strict=False))
+    return _table(ASKED, bucket[edges[:-1]], np.full(len(ends), page), [h[a:b].tobytes() for a, b in ends], [held[a:b].tobytes() for a, b in ends])
+
+
 def _asks(method: Method, parts: int):
     def ask(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
         page, each = Page(rows, answers), [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
@@ -154,18 +167,13 @@ def _asks(method: Method, parts: int):
         head = np.flatnonzero(new)
         several = np.add.reduceat(again, head).astype(bool) if len(head) else np.zeros(0, bool)
         h = h[head]
-        bucket = ((h >> np.uint64(33)) % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        h, several, bucket = h[order], several[order], bucket[order]
-        edges = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])), len(bucket)) if len(bucket) else np.zeros(1, np.int64)
-        spans = list(zip(edges.tolist(), edges[1:].tolist(), strict=False))
-        return _table("bucket long, page long, hashes binary, several binary", bucket[edges[:-1]], np.full(len(spans), key[0].as_py()), [h[a:b].tobytes() for a, b in spans], [several[a:b].tobytes() for a, b in spans])
+        return by_bucket(key[0].as_py(), h, several, parts)
 
     return ask
 
 
-def _shared(hot_pages: int):
-    """Of a bucket's hashes, those that occur twice, by page."""
+def shared_hashes(hot_pages: float):
+    """Of a bucket's hashes, those that occur twice, by page; HOT if over so many pages have them."""
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pages, hashes, several = [], [], []
@@ -396,8 +404,8 @@ def remove_repeats(docs: DataFrame, method: Method, cut: Cut, made: str, carry:
     def each_page(answers: DataFrame, f, schema) -> DataFrame:
         return texts.groupBy("page").cogroup(answers.groupBy("page")).applyInArrow(f, schema)
 
-    asked = each_page(firsts, _asks(method, parts), "bucket long, page long, hashes binary, several binary").repartition(parts, "bucket")
-    shared = firsts.union(asked.mapInArrow(_shared(hot_pages), ANSWER))
+    asked = each_page(firsts, _asks(method, parts), ASKED).repartition(parts, "bucket")
+    shared = firsts.union(asked.mapInArrow(shared_hashes(hot_pages), ANSWER))
     fine = CONTEXT_SPLIT * parts
     contexts = each_page(shared, _contexts(method, fine), CONTEXT).repartition(fine, "bucket")
     found = contexts.mapInArrow(method.find, ANSWER)
