@@ -31,8 +31,8 @@ from plinth.llm.common import mix, null_safe_text, partitions, ragged, release,
 
 _TABLE = np.random.default_rng(7).integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 BASE = 0x9E3779B97F4A7C15 | 1
-#: Pages for each shuffle partition.
-PAGES = 4
+#: Pages for each shuffle partition. Each page writes to each bucket, so more pages mean more and smaller messages.
+PAGES = 2
 #: A task holds all contexts of its bucket, which are several times the text around them, so they are dealt to so many times as many tasks.
 CONTEXT_SPLIT = 4
 HOT_PAGES = 500
@@ -167,7 +167,9 @@ def _asks(method: Method, parts: int):
         head = np.flatnonzero(new)
         several = np.add.reduceat(again, head).astype(bool) if len(head) else np.zeros(0, bool)
         h = h[head]
-        return by_bucket(key[0].as_py(), h, several, parts)
+        made = by_bucket(key[0].as_py(), h, several, parts)
+        release()
+        return made
 
     return ask
 
@@ -287,6 +289,7 @@ def _contexts(method: Method, parts: int):
             context = pa.Array.from_buffers(pa.binary(), len(one), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.py_buffer(p.data[ragged(p.begin[one], size)])])
             h = p.hash[one]
             out.append(_table(CONTEXT, ((h >> np.uint64(33)) % np.uint64(parts)).astype(np.int64), np.full(len(one), key[0].as_py()), p.row[one], h.view(np.int64), page.ids[p.text[one]], n, p.before[one], context))
+        release()
         return pa.concat_tables(out) if out else _table(CONTEXT, *[[] for _ in range(8)])
 
     return send
@@ -384,6 +387,7 @@ def _cuts(method: Method, cut: Cut, made: T.StructType, carry: bool):
                 columns = [pa.array(c, f.type) for c, f in zip(zip(*each, strict=True), schema, strict=True)]
                 kept = ["carried", "doc_id"] if carry else ["doc_id"]
                 out.append(pa.table([*(part.column(c) for c in kept), *columns], names=[*kept, *schema.names]))
+        release()
         return pa.concat_tables(out)
 
     return finish
