@@ -61,4 +61,4 @@ def confidence_summary(df: DataFrame, column: str = "conflation_confidence") ->
     """One row: total, high, medium, low and their shares in percent (one decimal, 0.0 of nothing)."""
     counts = df.agg(F.count("*").alias("total"), *(F.count_if(F.col(column) == v).alias(n) for n, v in (("high", HIGH), ("medium", MEDIUM), ("low", LOW))))
     share = lambda c: F.when(F.col("total") > 0, F.floor(F.col(c) * 1000.0 / F.col("total") + 0.5) / 10.0).otherwise(0.0)
-    return counts.select("*", *(share(c).alias(f"{c}_pct") for c in ("high", "medium", "low")))
+    return counts.select("*", *(share(c).alias(f"pct_{c}") for c in ("high", "medium", "low")))

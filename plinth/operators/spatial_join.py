@@ -1,8 +1,10 @@
 """Grid joins of boxes and points as equi-joins that Catalyst can shuffle, sort and re-plan.
 
 A box has a level: the smallest at which a cell (cell * 2^level) is as wide as the box, so it meets at most four cells there. Two boxes
-meet at the greater of their levels, in the one cell that holds the corner of their overlap; so neither huge boxes nor dense
-places need a broadcast or a nested loop, and no pair comes twice.
+meet at the greater of their levels, in the one cell that holds the corner of their overlap, so no pair comes twice. Of each side
+the boxes at their own level are joined with the other side's boxes that are smaller (or, on one side, as large), lifted to that level: small
+boxes meet only where one of them has its level, so a huge box meets all that it must, and nothing else meets because of it. Boxes are only
+lifted to levels that the other side has; these come from a scalar subquery of at most TOP_LEVEL + 1 numbers.
 """
 
 from __future__ import annotations
@@ -13,7 +15,12 @@ from pyspark.sql import functions as F
 TOP_LEVEL = 24
 
 
-def _level(x0: Column, y0: Column, x1: Column, y1: Column, cell: float) -> Column:
+def _sides(p: str) -> tuple[Column, ...]:
+    return tuple(F.col(f"{p}{k}") for k in ("x0", "y0", "x1", "y1"))
+
+
+def _level(p: str, cell: float) -> Column:
+    x0, y0, x1, y1 = _sides(p)
     side = F.greatest(x1 - x0, y1 - y0, F.lit(cell))
     return F.least(F.ceil(F.log2(side / cell)).cast("int"), F.lit(TOP_LEVEL))
 
@@ -22,36 +29,36 @@ def _size(cell: float, level: Column) -> Column:
     return F.lit(cell) * F.pow(F.lit(2.0), level)
 
 
-def _cells(df: DataFrame, p: str, cell: float, top: int) -> DataFrame:
-    """df with a row for each cell it meets at its level and every one above: _l (its level), _g (the cell's), _cx, _cy."""
-    x0, y0, x1, y1 = (F.col(f"{p}{k}") for k in ("x0", "y0", "x1", "y1"))
-    at = df.withColumn("_l", _level(x0, y0, x1, y1, cell)).withColumn("_g", F.explode(F.sequence(F.col("_l"), F.greatest(F.lit(top), F.col("_l")))))
+def _cells(df: DataFrame, p: str, cell: float, levels: Column) -> DataFrame:
+    """df with a row for each of the levels (an array) and each cell it meets there: _g, _cx, _cy."""
+    x0, y0, x1, y1 = _sides(p)
+    at = df.withColumn("_g", F.explode(levels))
     span = lambda lo, hi: F.sequence(F.floor(lo / _size(cell, F.col("_g"))), F.floor(hi / _size(cell, F.col("_g"))))
     return at.withColumn("_cx", F.explode(span(x0, x1))).withColumn("_cy", F.explode(span(y0, y1)))
 
 
-def top_level(df: DataFrame, p: str, cell: float) -> int:
-    """The greatest level in df: one aggregate over its boxes."""
-    row = df.agg(F.max(_level(*(F.col(f"{p}{k}") for k in ("x0", "y0", "x1", "y1")), cell)).alias("top")).first()
-    return int(row.top or 0)
+def _levels_of(df: DataFrame, p: str, cell: float) -> Column:
+    return df.select(F.collect_set(_level(p, cell)).alias("levels")).scalar()
+
+
+def box_join(left: DataFrame, right: DataFrame, lp: str, rp: str, cell: float) -> DataFrame:
+    """All pairs whose closed boxes (columns {prefix}x0, y0, x1, y1) meet, each once; with the columns of both. Null boxes meet nothing."""
+    (ax0, ay0, ax1, ay1), (bx0, by0, bx1, by1) = _sides(lp), _sides(rp)
+    meets = (ax0 <= bx1) & (ax1 >= bx0) & (ay0 <= by1) & (ay1 >= by0)
+    size = _size(cell, F.col("_g"))
+    own = (F.col("_cx") == F.floor(F.greatest(ax0, bx0) / size)) & (F.col("_cy") == F.floor(F.greatest(ay0, by0) / size))
 
+    def side(large: DataFrame, p: str, small: DataFrame, q: str, equal: bool) -> DataFrame:
+        level = _level(q, cell)
+        above = F.array_intersect(_levels_of(large, p, cell), F.sequence(level if equal else level + 1, F.lit(TOP_LEVEL + 1)))
+        a, b = _cells(large, p, cell, F.array(_level(p, cell))), _cells(small, q, cell, above)
+        return a.join(b, ["_g", "_cx", "_cy"]).filter(meets & own).select(*left.columns, *right.columns)
 
-def box_join(left: DataFrame, right: DataFrame, lp: str, rp: str, cell: float, top: int | None = None) -> DataFrame:
-    """All pairs whose closed boxes (columns {prefix}x0, y0, x1, y1) meet, each once; with the columns of both."""
-    if top is None:
-        top = max(top_level(left, lp, cell), top_level(right, rp, cell))
-    a = _cells(left, lp, cell, top).withColumnRenamed("_l", "_la")
-    b = _cells(right, rp, cell, top).withColumnRenamed("_l", "_lb")
-    c = F.col
-    meets = (c(f"{lp}x0") <= c(f"{rp}x1")) & (c(f"{lp}x1") >= c(f"{rp}x0")) & (c(f"{lp}y0") <= c(f"{rp}y1")) & (c(f"{lp}y1") >= c(f"{rp}y0"))
-    size = _size(cell, c("_g"))
-    own = (c("_cx") == F.floor(F.greatest(c(f"{lp}x0"), c(f"{rp}x0")) / size)) & (c("_cy") == F.floor(F.greatest(c(f"{lp}y0"), c(f"{rp}y0")) / size))
-    joined = a.join(b, ["_g", "_cx", "_cy"]).filter((c("_g") == F.greatest("_la", "_lb")) & meets & own)
-    return joined.drop("_g", "_cx", "_cy", "_la", "_lb")
+    return side(left, lp, right, rp, True).unionAll(side(right, rp, left, lp, False))
 
 
-def point_join(points: DataFrame, boxes: DataFrame, x: str, y: str, bp: str, cell: float, reach: float = 0.0, top: int | None = None) -> DataFrame:
+def point_join(points: DataFrame, boxes: DataFrame, x: str, y: str, bp: str, cell: float, reach: float = 0.0) -> DataFrame:
     """All pairs of a point and a box that, grown by ``reach``, holds it."""
     as_box = points.withColumns({"_px0": F.col(x), "_px1": F.col(x), "_py0": F.col(y), "_py1": F.col(y)})
     grown = boxes.withColumns({"_bx0": F.col(f"{bp}x0") - reach, "_bx1": F.col(f"{bp}x1") + reach, "_by0": F.col(f"{bp}y0") - reach, "_by1": F.col(f"{bp}y1") + reach})
-    return box_join(as_box, grown, "_p", "_b", cell, top).drop("_px0", "_px1", "_py0", "_py1", "_bx0", "_bx1", "_by0", "_by1")
+    return box_join(as_box, grown, "_p", "_b", cell).drop("_px0", "_px1", "_py0", "_py1", "_bx0", "_bx1", "_by0", "_by1")

@@ -2,49 +2,102 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plinth.functions import boxes, scoring
-from plinth.operators import bridges, gold
+from plinth.functions import scoring, spatial
+from plinth.operators import bridges, diagnostics, gold, tiles, views
+from plinth.operators.ranking import best_per, surrogate_id
+from plinth.operators.spatial_join import box_join
 from plinth.plans import fixture as fx
-from plinth.plans.fixture import CTE, class_sql
-from plinth.sources import discovery
+from plinth.plans.fixture import CELL, CTE, REACH, class_sql
+from plinth.sources import discovery, files, sinks, storage
 
 AOI = (40.0, 0.0, 400.0, 48.0)
 
 
 def _bridge(spark: SparkSession, d: str) -> DataFrame:
-    return bridges.fema_bridge(fx.overture(spark, d), fx.fema(spark, d))
+    return bridges.fema_bridge(fx.overture(spark, d), fx.fema(spark, d), cell=CELL)
 
 
 def _nsi(spark: SparkSession, d: str) -> DataFrame:
-    return bridges.nsi_bridge(fx.points(spark, d), fx.overture(spark, d))
+    return bridges.nsi_bridge(fx.points(spark, d), fx.overture(spark, d), REACH, CELL)
 
 
 def _nsi_fema(spark: SparkSession, d: str) -> DataFrame:
-    return bridges.nsi_fema_bridge(fx.points(spark, d), fx.fema(spark, d))
+    return bridges.nsi_fema_bridge(fx.points(spark, d), fx.fema(spark, d), CELL)
 
 
 def _unmatched(spark: SparkSession, d: str) -> DataFrame:
     return bridges.nsi_unmatched(fx.points(spark, d), _nsi(spark, d))
 
 
+def _gold(spark: SparkSession, d: str) -> DataFrame:
+    return gold.produce(fx.overture(spark, d), fx.fema(spark, d), _bridge(spark, d), _nsi(spark, d), _nsi_fema(spark, d))
+
+
+def _sums(df: DataFrame) -> DataFrame:
+    """Sums of doubles depend on their order in the last digits."""
+    return df.withColumns({c: F.round(c, 3) for c in ("nsi_val_struct", "nsi_val_cont")})
+
+
 def gold_buildings(spark: SparkSession, d: str) -> DataFrame:
-    o, f = fx.overture(spark, d), fx.fema(spark, d)
-    resolved = gold.resolve(o, _bridge(spark, d), f)
-    scored = gold.score(gold.enrich(resolved, _nsi(spark, d), _nsi_fema(spark, d)))
-    none = F.lit(None).cast("string")
-    return gold.with_geometry(scored, o, f, ["x0", "y0", "x1", "y1"]).withColumns({"osm_id": none, "osm_type": none})
+    """The table, its names as JSON and its geometry as text."""
+    return _sums(_gold(spark, d)).withColumns({"names": F.to_json("names"), "geometry": spatial.st_astext("geometry")})
 
 
 def _resolved(spark: SparkSession, d: str) -> DataFrame:
-    return gold.full_outer(fx.overture(spark, d), _bridge(spark, d), fx.fema(spark, d))
+    return gold.full_outer(fx.overture(spark, d), _bridge(spark, d), fx.fema(spark, d)).withColumn("names", F.to_json("names"))
+
+
+def _bronze(spark: SparkSession, d: str) -> str:
+    """The first source as it arrives: WKB and a bbox struct, in ZSTD Parquet by place."""
+    o = fx.overture(spark, d)
+    bbox = F.struct(F.col("x0").alias("xmin"), F.col("y0").alias("ymin"), F.col("x1").alias("xmax"), F.col("y1").alias("ymax"))
+    path = storage.scratch(spark, "bronze")
+    sinks.write_parquet(sinks.in_curve_order(o.withColumn("bbox", bbox).drop(*bridges.SIDES), bounds=(0.0, 0.0, 4096.0, 4096.0)), path)
+    return path
 
 
 def bbox_filter(spark: SparkSession, d: str) -> DataFrame:
-    x0, y0, x1, y1 = AOI
-    return fx.overture(spark, d).filter((F.col("x0") <= x1) & (F.col("x1") >= x0) & (F.col("y0") <= y1) & (F.col("y1") >= y0)).select("overture_id", "x0", "y0", "x1", "y1")
+    read = files.parquet(spark, f"{_bronze(spark, d)}/*.parquet", ["overture_id", "bbox"], AOI)
+    return read.select("overture_id", *(F.col(f"bbox.{k}").alias(s) for s, k in zip(bridges.SIDES, ("xmin", "ymin", "xmax", "ymax"), strict=True)))
+
+
+def curve_layout(spark: SparkSession, d: str) -> DataFrame:
+    return files.bare(spark, _bronze(spark, d)).select("overture_id", F.size("sources").cast("long").alias("n_sources"), spatial.st_astext("geometry").alias("shape"))
+
+
+def cell_partitions(spark: SparkSession, d: str) -> DataFrame:
+    path = storage.scratch(spark, "cells")
+    sinks.write_cells_of(fx.overture(spark, d).select("overture_id", "geometry"), path, 64.0, 8.0)
+    return spark.read.parquet(path).select("overture_id", F.col("cell_partition").cast("string").alias("cell"))
+
+
+def geoparquet_footers(spark: SparkSession, d: str) -> DataFrame:
+    path = storage.scratch(spark, "gold")
+    sinks.write_geoparquet(fx.overture(spark, d).select("overture_id", "geometry"), path, {"license": "ODbL 1.0"})
+    read = sinks.footers(spark, path)
+    return read.groupBy("attribution", F.get_json_object("geo", "$.primary_column").alias("primary_column")).agg(F.sum("rows").alias("n"))
+
+
+_TRIANGLE = "((60 -10, 360 30, 60 30, 60 -10))"
+
+
+def _area(spark: SparkSession) -> bytes:
+    from plinth.functions import geometry as g
+
+    return g.from_wkt(f"POLYGON {_TRIANGLE}")
+
+
+def area_polygons(spark: SparkSession, d: str) -> DataFrame:
+    return files.in_area(fx.overture(spark, d), _area(spark)).select("overture_id")
+
+
+def area_points(spark: SparkSession, d: str) -> DataFrame:
+    return files.points_in_area(fx.points(spark, d), _area(spark)).select("nsi_id")
 
 
 def envelope_points(spark: SparkSession, d: str) -> DataFrame:
@@ -53,11 +106,32 @@ def envelope_points(spark: SparkSession, d: str) -> DataFrame:
 
 
 def iou_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return bridges.iou_pairs(fx.overture(spark, d), fx.fema(spark, d)).select(F.col("o_overture_id").alias("overture_id"), F.col("f_fema_id").alias("fema_id"), "iou")
+    return bridges.iou_pairs(fx.overture(spark, d), fx.fema(spark, d), CELL).drop("fema_geometry")
 
 
 def iou_threshold(spark: SparkSession, d: str) -> DataFrame:
-    return bridges.fema_candidates(fx.overture(spark, d), fx.fema(spark, d))
+    return bridges.fema_candidates(fx.overture(spark, d), fx.fema(spark, d), cell=CELL)
+
+
+def _near_boxes(spark: SparkSession, d: str) -> DataFrame:
+    return box_join(bridges._narrow(fx.overture(spark, d), "overture_id", "o_"), bridges._narrow(fx.fema(spark, d), "fema_id", "f_"), "o_", "f_", CELL)
+
+
+def intersecting(spark: SparkSession, d: str) -> DataFrame:
+    return _near_boxes(spark, d).filter(spatial.st_intersects("o_geometry", "f_geometry")).select(F.col("o_overture_id").alias("overture_id"), F.col("f_fema_id").alias("fema_id"))
+
+
+def overlaps(spark: SparkSession, d: str) -> DataFrame:
+    pairs = _near_boxes(spark, d).select(F.col("o_overture_id").alias("overture_id"), F.col("f_fema_id").alias("fema_id"), spatial.st_intersection_area("o_geometry", "f_geometry").alias("shared"), spatial.st_union_area("o_geometry", "f_geometry").alias("united"))
+    return pairs.filter("shared > 0")
+
+
+def distance_pairs(spark: SparkSession, d: str) -> DataFrame:
+    from plinth.operators.spatial_join import point_join
+
+    pairs = point_join(fx.points(spark, d), bridges._narrow(fx.overture(spark, d), "overture_id", "o_"), "px", "py", "o_", CELL, REACH)
+    near = pairs.filter(spatial.st_dwithin(F.col("px"), F.col("py"), F.col("o_geometry"), REACH))
+    return near.select("nsi_id", F.col("o_overture_id").alias("overture_id"), F.round(spatial.st_distance("px", "py", "o_geometry"), 9).alias("distance"))
 
 
 def many_to_one(spark: SparkSession, d: str) -> DataFrame:
@@ -66,20 +140,53 @@ def many_to_one(spark: SparkSession, d: str) -> DataFrame:
 
 def _pass(step: int):
     def query(spark: SparkSession, d: str) -> DataFrame:
-        found = bridges.nsi_candidates(fx.points(spark, d), fx.overture(spark, d), 2.0).filter(F.col("pass") == step)
-        best = bridges.best_per(found, ["nsi_id"], [F.asc_nulls_last("metric"), F.asc("o_overture_id")])
-        return best.select("nsi_id", F.col("o_overture_id").alias("overture_id"), "metric")
+        found = bridges.nsi_candidates(fx.points(spark, d), fx.overture(spark, d), REACH, CELL).filter(F.col("pass") == step)
+        best = best_per(found, ["nsi_id"], [F.asc_nulls_last("metric"), F.asc("o_overture_id")])
+        return best.select("nsi_id", F.col("o_overture_id").alias("overture_id"), F.round("metric", 9).alias("metric"))
 
     return query
 
 
 def _pass_sql(step: int) -> str:
     metric = "near" if step == 3 else "a"
-    return CTE + f"SELECT nsi_id, overture_id, {metric} AS metric FROM (SELECT *, row_number() OVER (PARTITION BY nsi_id ORDER BY {metric} NULLS LAST, overture_id) AS r FROM np WHERE pass = {step}) WHERE r = 1"
+    return CTE + f"SELECT nsi_id, overture_id, round({metric}, 9) AS metric FROM (SELECT *, row_number() OVER (PARTITION BY nsi_id ORDER BY {metric} NULLS LAST, overture_id) AS r FROM np WHERE pass = {step}) WHERE r = 1"
+
+
+def primary_points(spark: SparkSession, d: str) -> DataFrame:
+    return gold.primary_values(_nsi(spark, d), "overture_id").select("overture_id", "nsi_id", "nsi_occtype")
+
+
+def value_rollup(spark: SparkSession, d: str) -> DataFrame:
+    return _sums(gold.primary_values(_nsi(spark, d), "overture_id").drop("nsi_id", "nsi_occtype"))
+
+
+def value_rollup_fema(spark: SparkSession, d: str) -> DataFrame:
+    return _sums(gold.primary_values(_nsi_fema(spark, d), "fema_id").drop("nsi_occtype"))
+
+
+def without_points(spark: SparkSession, d: str) -> DataFrame:
+    """No bridge of points was there: null columns and a count of 0."""
+    made = gold.enrich(gold.resolve(fx.overture(spark, d), _bridge(spark, d), fx.fema(spark, d)), None, None)
+    return made.select("building_id", "nsi_id", "nsi_point_count", "has_nsi_match")
+
+
+def fill_fema_only(spark: SparkSession, d: str) -> DataFrame:
+    made = _sums(gold.enrich(gold.resolve(fx.overture(spark, d), _bridge(spark, d), fx.fema(spark, d)), _nsi(spark, d), _nsi_fema(spark, d)))
+    return made.filter("source = 'fema_only' AND has_nsi_match").select("building_id", "nsi_id", "nsi_val_struct", "nsi_val_cont", "nsi_point_count")
+
+
+def geometry_priority(spark: SparkSession, d: str) -> DataFrame:
+    made = gold.with_geometry(gold.resolve(fx.overture(spark, d), _bridge(spark, d), fx.fema(spark, d)), fx.overture(spark, d), fx.fema(spark, d))
+    return made.select("building_id", spatial.st_astext("geometry").alias("shape"))
+
+
+def review_points(spark: SparkSession, d: str) -> DataFrame:
+    return gold.review(_unmatched(spark, d), _nsi_fema(spark, d)).withColumn("geometry", spatial.st_astext("geometry"))
 
 
 def confidence_scores(spark: SparkSession, d: str) -> DataFrame:
-    return gold_buildings(spark, d).select("building_id", "conflation_confidence")
+    made = gold.score(gold.enrich(gold.resolve(fx.overture(spark, d), _bridge(spark, d), fx.fema(spark, d)), None, None))
+    return made.select("building_id", "conflation_confidence")
 
 
 def confidence_summary(spark: SparkSession, d: str) -> DataFrame:
@@ -91,7 +198,11 @@ def occupancy_crosswalk(spark: SparkSession, d: str) -> DataFrame:
 
 
 def occupancy_conflate(spark: SparkSession, d: str) -> DataFrame:
-    return gold_buildings(spark, d).select("building_id", "general_occupancy", "occupancy_confidence")
+    """Every second-source class with every code that occurs."""
+    f = fx.fema(spark, d).select("occ_cls").distinct()
+    n = fx.points(spark, d).select("occtype").distinct()
+    both = f.withColumn("side", F.lit(1)).join(n.withColumn("side", F.lit(1)), "side")  # 8 x 35 values
+    return both.select("occ_cls", "occtype", scoring.general_occupancy(F.col("occ_cls"), F.col("occtype")).alias("general_occupancy"), scoring.occupancy_confidence(F.col("occ_cls"), F.col("occtype")).alias("occupancy_confidence"))
 
 
 def risk_flag(spark: SparkSession, d: str) -> DataFrame:
@@ -107,64 +218,185 @@ def osm_sources(spark: SparkSession, d: str) -> DataFrame:
 
 def concat_states(spark: SparkSession, d: str) -> DataFrame:
     f = fx.fema(spark, d)
-    return f.filter("x0 < 400").select("fema_id", "occ_cls").unionByName(f.filter("x0 >= 400").select("fema_id", "y0"), allowMissingColumns=True)
+    return files.concat([f.filter("x0 < 400").select("fema_id", "occ_cls"), f.filter("x0 >= 400").select("fema_id", "y0")])
 
 
 def surrogate_ids(spark: SparkSession, d: str) -> DataFrame:
-    from plinth.operators.ranking import surrogate_id
-
     return surrogate_id(fx.fema(spark, d).select(F.col("fema_id").alias("source_id")), "fema_id", ["source_id"])
 
 
+def renamed_or_numbered(spark: SparkSession, d: str) -> DataFrame:
+    """The id column in another case is renamed; where there is none, rows are numbered."""
+    n = fx.points(spark, d).select(F.col("nsi_id").alias("FD_ID"), "occtype")
+    known = files.identified(n, "fd_id", "nsi_id", ["occtype"]).select("nsi_id", F.lit("renamed").alias("how"))
+    made = files.identified(fx.fema(spark, d).select(F.col("fema_id").alias("label")), "objectid", "nsi_id", ["label"]).select("nsi_id", F.lit("numbered").alias("how"))
+    return known.unionAll(made)
+
+
+def states_by_envelope(spark: SparkSession, d: str) -> DataFrame:
+    n = spark.read.parquet(f"{d}/nation.parquet").select(F.col("n_nationkey").cast("long").alias("k"), F.col("n_name").alias("state"))
+    boxes = n.selectExpr("state", "k % 5 * 100.0D AS x0", "k div 5 * 20.0D AS y0", "k % 5 * 100.0D + 99 AS x1", "k div 5 * 20.0D + 19 AS y1")
+    return files.states_overlapping(boxes, AOI).select("state")
+
+
 def replace_column(spark: SparkSession, d: str) -> DataFrame:
     return fx.points(spark, d).withColumn("occtype", F.coalesce(F.upper("occtype"), F.lit("NONE"))).select("nsi_id", "occtype")
 
 
-def match_rates(spark: SparkSession, d: str) -> DataFrame:
-    n = _nsi(spark, d).groupBy("match_method").agg(F.count("*").alias("n"))
-    total = fx.points(spark, d).agg(F.count("*").alias("total"))  # one row
-    return n.crossJoin(F.broadcast(total)).select("match_method", "n", (F.col("n") / F.col("total") * 100).alias("pct"))
+def coerced(spark: SparkSession, d: str) -> DataFrame:
+    """Text as numbers where it is some, else null."""
+    return fx.points(spark, d).select("nsi_id", F.substring("occtype", -1, 1).try_cast("int").alias("digit"), F.col("occtype").try_cast("double").alias("number"))
+
+
+def centroids(spark: SparkSession, d: str) -> DataFrame:
+    o = fx.overture(spark, d).select("overture_id", spatial.st_area("geometry").alias("area"), spatial.st_centroid("geometry").alias("at"))
+    return o.select("overture_id", "area", F.round("at.x", 9).alias("cx"), F.round("at.y", 9).alias("cy"))
+
 
+def hulls(spark: SparkSession, d: str) -> DataFrame:
+    return fx.overture(spark, d).select("overture_id", spatial.st_area(spatial.st_convexhull("geometry")).alias("hull_area"))
 
-def occupancy_view(spark: SparkSession, d: str) -> DataFrame:
-    return gold_buildings(spark, d).filter(F.col("general_occupancy").isin("Residential", "Education")).select("building_id", "general_occupancy")
+
+def shape_texts(spark: SparkSession, d: str) -> DataFrame:
+    return fx.overture(spark, d).select("overture_id", spatial.st_astext(spatial.st_geomfromtext(spatial.st_astext("geometry"))).alias("shape"))
+
+
+def extents(spark: SparkSession, d: str) -> DataFrame:
+    return fx.overture(spark, d).select("overture_id", spatial.st_extent("geometry").alias("b")).select("overture_id", *(F.col(f"b.{k}").alias(k) for k in ("xmin", "ymin", "xmax", "ymax")))
+
+
+def repaired(spark: SparkSession, d: str) -> DataFrame:
+    """Bow ties of two unit-height triangles, clockwise squares with a repeated corner, and lines that enclose nothing."""
+    p = fx._parts(spark, d).selectExpr("k", "gx", "gy", "CASE k % 3 WHEN 0 THEN array(gx, gy, gx + 4, gy + 2, gx + 4, gy, gx, gy + 2, gx, gy) WHEN 1 THEN array(gx, gy, gx, gy + 2, gx, gy + 2, gx + 2, gy + 2, gx + 2, gy) ELSE array(gx, gy, gx + 2, gy, gx, gy) END AS ring")
+    made = p.withColumn("raw", spatial.st_polygon("ring")).withColumn("geometry", spatial.st_makevalid("raw"))
+    return made.select("k", spatial.st_isvalid("raw").alias("was_valid"), spatial.st_area("geometry").alias("area"))
+
+
+def nonempty_geometries(spark: SparkSession, d: str) -> DataFrame:
+    o = fx.overture(spark, d).withColumn("geometry", F.when(F.col("num_floors") == 0, F.lit(None)).when(F.col("num_floors") == 1, F.unhex(F.lit("010300000000000000"))).otherwise(F.col("geometry")))
+    return sinks.nonempty(o).select("overture_id")
 
 
 def geometry_rank(spark: SparkSession, d: str) -> DataFrame:
-    kinds = F.array(F.lit("Point"), F.lit("LineString"), F.lit("Polygon"), F.lit("MultiPolygon"))
-    ov = fx.overture(spark, d).select("overture_id", kinds[(F.length("overture_id") % 4).cast("int")].alias("a"), kinds[F.ascii(F.substring("overture_id", -1, 1)) % 4].alias("b"))
-    rank = lambda c: F.coalesce(F.element_at(F.create_map(*(x for k, v in (("Point", 1), ("LineString", 2), ("Polygon", 3), ("MultiPolygon", 4)) for x in (F.lit(k), F.lit(v)))), c), F.lit(1))
-    return ov.select("overture_id", F.when(rank(F.col("b")) > rank(F.col("a")), F.col("b")).otherwise(F.col("a")).alias("picked"))
+    """A footprint or its middle, against the second source's footprint as a polygon, as a multipolygon, or a point."""
+    p = fx._parts(spark, d).selectExpr("k", "gx", "gy", "gx AS x0", "gy AS y0", "gx + 8 AS x1", "gy + h AS y1")
+    polygon, point = spatial.st_polygon(F.expr(fx.PLAIN)), spatial.st_geomfromtext(spatial.point_text(F.col("gx"), F.col("gy")))
+    many = F.concat(F.unhex(F.lit("010600000001000000")), F.col("polygon"))
+    shaped = p.withColumns({"polygon": polygon, "point": point})
+    a, b = F.when(F.col("k") % 2 == 0, F.col("polygon")).otherwise(F.col("point")), F.when(F.col("k") % 3 == 0, many).when(F.col("k") % 3 == 1, F.col("polygon")).otherwise(F.col("point"))
+    both = shaped.select("k", a.alias("a"), b.alias("b"))
+    return both.select("k", F.split(spatial.st_astext(spatial.preferred(F.col("a"), F.col("b"))), " ")[0].alias("kind"), (spatial.geometry_rank(F.col("b")) > spatial.geometry_rank(F.col("a"))).alias("fallback"))
 
 
-def attributes_in_bounds(spark: SparkSession, d: str) -> DataFrame:
-    o = fx.overture(spark, d)
-    return o.select("overture_id", boxes.area().alias("area"), ((F.col("x0") + F.col("x1")) / 2).alias("cx"), ((F.col("y0") + F.col("y1")) / 2).alias("cy"))
+def _degrees(spark: SparkSession, d: str) -> DataFrame:
+    return fx.points(spark, d).select("nsi_id", (F.col("px") / 8 - 90).alias("lon"), (F.col("py") / 512).alias("lat"))
+
+
+def projected(spark: SparkSession, d: str) -> DataFrame:
+    """To metres by the geometry function and by the Column one, and back to degrees."""
+    p = _degrees(spark, d).withColumn("wkb", spatial.st_geomfromtext(F.format_string("POINT (%s %s)", "lon", "lat")))
+    moved = p.withColumn("m", spatial.st_transform(F.col("wkb"), 4326, 3857))
+    x, y = views.mercator(F.col("lon"), F.col("lat"))
+    back = spatial.st_centroid(spatial.st_transform(F.col("m"), 3857, 4326))
+    return moved.withColumns({"at": spatial.st_centroid("m"), "back": back, "x": x, "y": y}).select(
+        "nsi_id", F.round("at.x", 3).alias("x"), F.round("at.y", 3).alias("y"), ((F.abs(F.col("at.x") - F.col("x")) < 1e-6) & (F.abs(F.col("at.y") - F.col("y")) < 1e-6)).alias("same"), F.round("back.x", 6).alias("lon"), F.round("back.y", 6).alias("lat"))
+
+
+def tile_counts(spark: SparkSession, d: str) -> DataFrame:
+    p, out = _degrees(spark, d), None
+    for zoom in (0, 4, 9):
+        x, y = views.tile_of(F.col("lon"), F.col("lat"), zoom)
+        one = p.select(F.lit(zoom).alias("z"), x.alias("x"), y.alias("y"))
+        out = one if out is None else out.unionAll(one)
+    return out.groupBy("z", "x", "y").agg(F.count("*").alias("n"))
+
+
+def vector_tiles(spark: SparkSession, d: str) -> DataFrame:
+    """Tiles of the points, read back: how many features each has."""
+    p = _degrees(spark, d).select(F.col("nsi_id").alias("id"), spatial.st_geomfromtext(F.format_string("POINT (%s %s)", "lon", "lat")).alias("geometry"))
+    return tiles.read_counts(tiles.encode(tiles.features(p, 12, 12, grid=None), "points")).select("z", "x", "y", "n")
+
+
+def view_filter(spark: SparkSession, d: str) -> DataFrame:
+    """Some classes, all of them, none."""
+    g = gold.score(gold.enrich(gold.resolve(fx.overture(spark, d), _bridge(spark, d), fx.fema(spark, d)), None, None)).select("building_id", "general_occupancy")
+    some = {"some": ["Residential", "Education"], "all": scoring.CLASSES, "none": []}
+    frames = [views.occupancy_filter(g, which).withColumn("shown", F.lit(name)) for name, which in some.items()]
+    return frames[0].unionAll(frames[1]).unionAll(frames[2])
+
+
+def top_feature(spark: SparkSession, d: str) -> DataFrame:
+    """What lies on top at three places."""
+    o = fx.overture(spark, d).select(F.lit("overture").alias("layer"), F.col("overture_id").alias("id"), "geometry")
+    f = fx.fema(spark, d).select(F.lit("fema").alias("layer"), F.col("fema_id").alias("id"), "geometry")
+    features = o.unionAll(f).withColumn("shape", F.lit(0)).drop("shape")
+    picked = [views.pick(features, x, y).select("layer", "id", F.lit(f"{x} {y}").alias("place")) for x, y in ((17.0, 1.0), (7.5, 0.5), (29.5, 29.5))]
+    return picked[0].unionAll(picked[1]).unionAll(picked[2])
+
+
+def colours(spark: SparkSession, d: str) -> DataFrame:
+    c = fx.points(spark, d).select("nsi_id", F.when(F.col("nsi_id") % 17 == 0, F.lit(None)).otherwise((F.col("nsi_id") % 161 - 8) / 128.0).alias("v"))
+    return c.select("nsi_id", views.confidence_step(F.col("v")).alias("step"), views.confidence_colour(F.col("v")).alias("colour"))
+
+
+def names_text(spark: SparkSession, d: str) -> DataFrame:
+    o = fx.overture(spark, d).select("overture_id", F.when(F.col("num_floors") == 2, F.lit("no json")).otherwise(F.to_json("names")).alias("names"))
+    return o.select("overture_id", "names", views.parsed_names(F.col("names")).alias("primary_name"))
+
+
+def latest(spark: SparkSession, d: str) -> DataFrame:
+    """Release listings made of addresses, each with its host's and one more prefix."""
+    pages = spark.read.parquet(f"{d}/pages.parquet")
+    name = F.regexp_extract("url", r"^https?://([^/?#]+)", 1)
+    prefix = lambda p: F.concat(F.lit("<CommonPrefixes><Prefix>release/"), p, F.lit("/</Prefix></CommonPrefixes>"))
+    xml = F.concat(F.lit("<ListBucketResult><Name>b</Name>"), prefix(name), prefix(F.concat(F.lit("2024-"), F.col("page_id").cast("string"))), F.lit("</ListBucketResult>"))
+    return discovery.latest_release(pages.select(xml.alias("xml")))
+
+
+def index(spark: SparkSession, d: str) -> DataFrame:
+    return discovery.index_links(spark.read.parquet(f"{d}/pages.parquet"), "html", r"^/([A-Za-z])[a-z]*$", "page_id")
 
 
 QUERIES = {
     "gold_buildings": gold_buildings,
     "bbox_struct_filter": bbox_filter,
+    "curve_layout": curve_layout,
+    "cell_partition_write": cell_partitions,
+    "geoparquet_footers": geoparquet_footers,
+    "aoi_polygon_filter": area_polygons,
+    "aoi_polygon_points": area_points,
     "aoi_envelope_filter": envelope_points,
-    "area_centroid": attributes_in_bounds,
+    "area_centroid": centroids,
+    "convex_hull_area": hulls,
+    "shape_text_round_trip": shape_texts,
+    "shape_extent": extents,
+    "make_valid": repaired,
+    "nonempty_geometries": nonempty_geometries,
+    "reprojection": projected,
     "iou_pairs": iou_pairs,
     "iou_threshold": iou_threshold,
+    "spatial_intersects_join": intersecting,
+    "overlap_areas": overlaps,
+    "distance_join": distance_pairs,
     "fema_bridge_best": _bridge,
     "fema_bridge_many_to_one": many_to_one,
     "pip_smallest_area": _pass(1),
     "hull_pip": _pass(2),
     "nearest_within_buffer": _pass(3),
     "nsi_bridge_single_pass": _nsi,
-    "nsi_bridge_three_pass": lambda s, d: bridges.nsi_bridge_three_pass(fx.points(s, d), fx.overture(s, d)),
+    "nsi_bridge_three_pass": lambda s, d: bridges.nsi_bridge_three_pass(fx.points(s, d), fx.overture(s, d), REACH, CELL),
     "nsi_unmatched": _unmatched,
     "nsi_review": lambda s, d: bridges.nsi_review(_unmatched(s, d), _nsi_fema(s, d)),
+    "nsi_review_points": review_points,
     "nsi_fema_bridge": _nsi_fema,
     "full_outer_resolve": _resolved,
     "gold_collapse_best_fema": lambda s, d: gold.collapse(_resolved(s, d)),
-    "nsi_primary_per_building": lambda s, d: gold.primary_values(_nsi(s, d), "overture_id").select("overture_id", "nsi_id", "nsi_occtype"),
-    "nsi_value_rollup": lambda s, d: gold.primary_values(_nsi(s, d), "overture_id").drop("nsi_id", "nsi_occtype"),
-    "nsi_fill_fema_only": lambda s, d: gold_buildings(s, d).filter("source = 'fema_only' AND has_nsi_match").select("building_id", "nsi_id", "nsi_val_struct", "nsi_val_cont", "nsi_point_count"),
-    "geometry_priority": lambda s, d: gold_buildings(s, d).select("building_id", "x0", "y0", "x1", "y1"),
+    "nsi_primary_per_building": primary_points,
+    "nsi_value_rollup": value_rollup,
+    "nsi_value_rollup_fema": value_rollup_fema,
+    "nsi_fill_fema_only": fill_fema_only,
+    "gold_without_points": without_points,
+    "geometry_priority": geometry_priority,
     "geometry_rank_pick": geometry_rank,
     "confidence_score": confidence_scores,
     "confidence_summary": confidence_summary,
@@ -174,22 +406,50 @@ QUERIES = {
     "osm_source_filter": osm_sources,
     "concat_states_missing_cols": concat_states,
     "surrogate_id": surrogate_ids,
+    "rename_or_number": renamed_or_numbered,
+    "states_by_envelope": states_by_envelope,
     "replace_column": replace_column,
-    "match_rate_diagnostics": match_rates,
-    "occupancy_view_filter": occupancy_view,
-    "release_latest": discovery.latest_query,
-    "index_scrape": discovery.index_query,
+    "numeric_coerce": coerced,
+    "match_rate_diagnostics": lambda s, d: diagnostics.rates_by_method(_nsi(s, d), fx.points(s, d)),
+    "fema_match_rates": lambda s, d: diagnostics.fema_rates(_bridge(s, d), fx.fema(s, d)),
+    "nsi_match_rates": lambda s, d: diagnostics.nsi_rates(_nsi(s, d), fx.points(s, d)),
+    "gold_counts": lambda s, d: diagnostics.gold_counts(_gold(s, d)),
+    "occupancy_view_filter": view_filter,
+    "point_pick": top_feature,
+    "confidence_colours": colours,
+    "names_text": names_text,
+    "tile_counts": tile_counts,
+    "vector_tiles": vector_tiles,
+    "release_latest": latest,
+    "index_scrape": index,
 }
 
 _BOX = "x0 <= 400 AND x1 >= 40 AND y0 <= 48 AND y1 >= 0"
 
-_RANK = "CASE {} WHEN 'LineString' THEN 2 WHEN 'Polygon' THEN 3 WHEN 'MultiPolygon' THEN 4 ELSE 1 END"
+_LON, _LAT = "(px / 8 - 90)", "(py / 512)"
+
+
+def _tile_sql(zoom: int) -> str:
+    n = 1 << zoom
+    return f"SELECT {zoom}::INT AS z, greatest(0, least({n - 1}, floor(({_LON} + 180.0) / 360.0 * {n})))::INT AS x, greatest(0, least({n - 1}, floor((1.0 - ln(tan(radians({_LAT})) + 1.0 / cos(radians({_LAT}))) / {math.pi!r}) / 2.0 * {n})))::INT AS y FROM ns"
+
+
+def _colour_sql(v: str) -> str:
+    c = f"greatest(0.0::DOUBLE, least(1.0::DOUBLE, {v}))"
+    mix = lambda k: " ".join(f"WHEN {c} <= {t1} THEN floor({c0[k]} + ({c1[k]} - {c0[k]}) * (({c} - {t0}) / {t1 - t0}) + 0.5)::INT::VARCHAR" for (t0, c0), (t1, c1) in zip(views.STOPS, views.STOPS[1:], strict=False))
+    return f"CASE WHEN {v} IS NULL THEN '{views.NO_VALUE}' ELSE 'rgb(' || CASE {mix(0)} END || ',' || CASE {mix(1)} END || ',' || CASE {mix(2)} END || ')' END"
+
+
+_SIDE = "(CASE WHEN notch THEN 4.0 * (y1 - y0 - 2.0) ELSE 0.0 END)"
+_MEETS = " OR ".join(f"({c}o.x0 + {a} <= f.x1 AND o.x0 + {b} >= f.x0 AND o.y0 <= f.y1 AND {t} >= f.y0)" for c, a, b, t in (("NOT notch AND ", "0", "(o.x1 - o.x0)", "o.y1"), ("notch AND ", "0", "8", "o.y0 + 2"), ("notch AND ", "0", "2", "o.y1"), ("notch AND ", "6", "8", "o.y1")))
+#: The triangle's long side, above which it lies.
+_EDGE = "(-10 + ({x} - 60) * 40.0 / 300)"
 
 SQL: dict[str, str] = {
     "gold_buildings": CTE + "SELECT * FROM gb",
     "bbox_struct_filter": CTE + f"SELECT overture_id, x0, y0, x1, y1 FROM ov WHERE {_BOX}",
     "aoi_envelope_filter": CTE + "SELECT nsi_id, px, py FROM ns WHERE px BETWEEN 40 AND 400 AND py BETWEEN 0 AND 48",
-    "area_centroid": CTE + "SELECT overture_id, a AS area, (x0 + x1) / 2 AS cx, (y0 + y1) / 2 AS cy FROM ov",
+    "area_centroid": CTE + f"SELECT overture_id, a AS area, round(((x1 - x0) * (y1 - y0) * (x0 + x1) / 2 - {_SIDE} * (x0 + 4)) / a, 9) AS cx, round(((x1 - x0) * (y1 - y0) * (y0 + y1) / 2 - {_SIDE} * (y0 + 2 + y1) / 2) / a, 9) AS cy FROM ov",
     "iou_pairs": CTE + "SELECT overture_id, fema_id, iou FROM iou",
     "iou_threshold": CTE + f"SELECT fema_id, overture_id, iou, {fx.wkt('mx', 'my')} AS fema_centroid_wkt FROM iou WHERE iou >= CAST(0.1 AS DOUBLE)",
     "fema_bridge_best": CTE + "SELECT * FROM fb",
@@ -207,19 +467,47 @@ SQL: dict[str, str] = {
     "nsi_primary_per_building": CTE + "SELECT overture_id, nsi_id, occtype AS nsi_occtype FROM vo JOIN ns USING (nsi_id)",
     "nsi_value_rollup": CTE + "SELECT overture_id, nsi_val_struct, nsi_val_cont, nsi_point_count FROM vo",
     "nsi_fill_fema_only": CTE + "SELECT building_id, nsi_id, nsi_val_struct, nsi_val_cont, nsi_point_count FROM gb WHERE source = 'fema_only' AND has_nsi_match",
-    "geometry_priority": CTE + "SELECT building_id, x0, y0, x1, y1 FROM gb",
-    "geometry_rank_pick": CTE + f"SELECT overture_id, CASE WHEN {_RANK.format('b')} > {_RANK.format('a')} THEN b ELSE a END AS picked FROM (SELECT overture_id, (['Point', 'LineString', 'Polygon', 'MultiPolygon'])[length(overture_id) % 4 + 1] AS a, (['Point', 'LineString', 'Polygon', 'MultiPolygon'])[ascii(right(overture_id, 1)) % 4 + 1] AS b FROM ov)",
+    "geometry_priority": CTE + "SELECT building_id, geometry AS shape FROM gb",
+    "geometry_rank_pick": CTE + "SELECT k, CASE WHEN greatest(a, b) = 4 THEN 'MULTIPOLYGON' WHEN greatest(a, b) = 3 THEN 'POLYGON' ELSE 'POINT' END AS kind, b > a AS fallback FROM (SELECT k, CASE WHEN k % 2 = 0 THEN 3 ELSE 1 END AS a, CASE k % 3 WHEN 0 THEN 4 WHEN 1 THEN 3 ELSE 1 END AS b FROM pk)",
     "confidence_score": CTE + "SELECT building_id, conflation_confidence FROM gb",
-    "confidence_summary": CTE + "SELECT total, high, medium, low, " + ", ".join(f"CASE WHEN total > 0 THEN floor({c} * 1000.0::DOUBLE / total + 0.5) / 10.0 ELSE 0.0::DOUBLE END AS {c}_pct" for c in ("high", "medium", "low")) + " FROM (SELECT count(*) AS total, count(*) FILTER (conflation_confidence = 1.0) AS high, count(*) FILTER (conflation_confidence = 0.6::DOUBLE) AS medium, count(*) FILTER (conflation_confidence = 0.3::DOUBLE) AS low FROM gb)",
+    "confidence_summary": CTE + "SELECT total, high, medium, low, " + ", ".join(f"CASE WHEN total > 0 THEN floor({c} * 1000.0::DOUBLE / total + 0.5) / 10.0 ELSE 0.0::DOUBLE END AS pct_{c}" for c in ("high", "medium", "low")) + " FROM (SELECT count(*) AS total, count(*) FILTER (conflation_confidence = 1.0) AS high, count(*) FILTER (conflation_confidence = 0.6::DOUBLE) AS medium, count(*) FILTER (conflation_confidence = 0.3::DOUBLE) AS low FROM gb)",
     "occupancy_crosswalk": CTE + f"SELECT nsi_id, occtype, {class_sql('occtype')} AS occupancy FROM ns",
-    "occupancy_conflate": CTE + "SELECT building_id, general_occupancy, occupancy_confidence FROM gb",
+    "occupancy_conflate": CTE + f"SELECT occ_cls, occtype, coalesce(occ_cls, c) AS general_occupancy, CASE WHEN occ_cls IS NOT NULL AND c IS NOT NULL THEN CASE WHEN occ_cls = c THEN 1.0::DOUBLE ELSE 0.3::DOUBLE END WHEN occ_cls IS NOT NULL THEN 0.8::DOUBLE WHEN c IS NOT NULL THEN 0.6::DOUBLE END AS occupancy_confidence FROM (SELECT DISTINCT occ_cls FROM fe), (SELECT DISTINCT occtype, {class_sql('occtype')} AS c FROM ns)",
     "nsi_risk_flag": CTE + "SELECT nsi_id, nb.nsi_id IS NULL AND nf.nsi_id IS NULL AS nsi_risk FROM ns LEFT JOIN nb USING (nsi_id) LEFT JOIN nf USING (nsi_id)",
     "osm_source_filter": CTE + "SELECT overture_id, 1::BIGINT AS n_osm, k::VARCHAR AS record_id FROM ov WHERE k % 3 = 0",
     "concat_states_missing_cols": CTE + "SELECT fema_id, occ_cls FROM fe WHERE x0 < 400 UNION ALL BY NAME SELECT fema_id, y0 FROM fe WHERE x0 >= 400",
     "surrogate_id": CTE + "SELECT fema_id AS source_id, row_number() OVER (ORDER BY fema_id) - 1 AS fema_id FROM fe",
     "replace_column": CTE + "SELECT nsi_id, coalesce(upper(occtype), 'NONE') AS occtype FROM ns",
     "match_rate_diagnostics": CTE + "SELECT match_method, count(*) AS n, count(*)::DOUBLE / (SELECT count(*) FROM ns) * 100 AS pct FROM nb GROUP BY match_method",
-    "occupancy_view_filter": CTE + "SELECT building_id, general_occupancy FROM gb WHERE general_occupancy IN ('Residential', 'Education')",
-    "release_latest": discovery.LATEST_SQL,
-    "index_scrape": discovery.INDEX_SQL,
+    "occupancy_view_filter": CTE + "SELECT building_id, fema_occ_cls AS general_occupancy, 'some' AS shown FROM gb WHERE fema_occ_cls IN ('Residential', 'Education') UNION ALL SELECT building_id, fema_occ_cls, 'all' FROM gb",
+    "release_latest": "SELECT max(r) AS release FROM (SELECT regexp_extract(url, '^https?://([^/?#]+)', 1) AS r FROM pages UNION ALL SELECT '2024-' || page_id FROM pages)",
+    "index_scrape": "SELECT key, arg_max(url, (page_id, place)) AS url FROM (SELECT page_id, place, url, regexp_extract(url, '^/([A-Za-z])[a-z]*$', 1) AS key FROM (SELECT page_id, unnest(u) AS url, unnest(range(len(u))) AS place FROM (SELECT page_id, regexp_extract_all(html, 'href=\"([^\"]*)\"', 1) AS u FROM pages))) WHERE key <> '' GROUP BY key",
+    "curve_layout": CTE + "SELECT overture_id, 2::BIGINT AS n_sources, shape FROM ov",
+    "cell_partition_write": CTE + f"SELECT overture_id, floor(((x1 - x0) * (y1 - y0) * (x0 + x1) / 2 - {_SIDE} * (x0 + 4)) / a / 64)::BIGINT || '_' || floor(((x1 - x0) * (y1 - y0) * (y0 + y1) / 2 - {_SIDE} * (y0 + 2 + y1) / 2) / a / 64)::BIGINT AS cell FROM ov",
+    "geoparquet_footers": CTE + "SELECT '{\"license\": \"ODbL 1.0\"}' AS attribution, 'geometry' AS primary_column, count(*) AS n FROM ov",
+    "aoi_polygon_filter": CTE + f"SELECT overture_id FROM ov WHERE x1 >= 60 AND x0 <= 360 AND y0 <= 30 AND y1 >= {_EDGE.format(x='greatest(x0, 60)')}",
+    "aoi_polygon_points": CTE + f"SELECT nsi_id FROM ns WHERE px >= 60 AND px <= 360 AND py <= 30 AND py >= {_EDGE.format(x='px')}",
+    "convex_hull_area": CTE + "SELECT overture_id, (x1 - x0) * (y1 - y0) AS hull_area FROM ov",
+    "shape_text_round_trip": CTE + "SELECT overture_id, shape FROM ov",
+    "shape_extent": CTE + "SELECT overture_id, x0 AS xmin, y0 AS ymin, x1 AS xmax, y1 AS ymax FROM ov",
+    "make_valid": CTE + "SELECT k, false AS was_valid, CASE k % 3 WHEN 0 THEN 4.0::DOUBLE WHEN 1 THEN 4.0::DOUBLE END AS area FROM pk",
+    "nonempty_geometries": CTE + "SELECT overture_id FROM ov WHERE num_floors NOT IN (0, 1)",
+    "reprojection": CTE + f"SELECT nsi_id, round(radians({_LON}) * 6378137.0, 3) AS x, round(ln(tan({math.pi / 4!r} + radians({_LAT}) / 2)) * 6378137.0, 3) AS y, true AS same, round({_LON}, 6) AS lon, round({_LAT}, 6) AS lat FROM ns",
+    "spatial_intersects_join": CTE + f"SELECT overture_id, fema_id FROM ov o JOIN fe f ON {_MEETS}",
+    "overlap_areas": CTE + "SELECT overture_id, fema_id, i AS shared, a + b - i AS united FROM pr WHERE i > 0",
+    "distance_join": CTE + "SELECT nsi_id, overture_id, round(near, 9) AS distance FROM nc WHERE near <= 2.0",
+    "nsi_review_points": CTE + "SELECT nu.* EXCLUDE (nsi_point_wkt), nsi_point_wkt AS geometry FROM nu ANTI JOIN nf USING (nsi_id)",
+    "nsi_value_rollup_fema": CTE + "SELECT fema_id, nsi_id, nsi_val_struct, nsi_val_cont, nsi_point_count FROM vf",
+    "gold_without_points": CTE + "SELECT building_id, NULL::BIGINT AS nsi_id, 0::BIGINT AS nsi_point_count, false AS has_nsi_match FROM gb",
+    "rename_or_number": CTE + "SELECT nsi_id, 'renamed' AS how FROM ns UNION ALL SELECT row_number() OVER (ORDER BY fema_id) - 1, 'numbered' FROM fe",
+    "states_by_envelope": f"SELECT state FROM (SELECT n_name AS state, n_nationkey % 5 * 100.0 AS x0, n_nationkey // 5 * 20.0 AS y0, n_nationkey % 5 * 100.0 + 99 AS x1, n_nationkey // 5 * 20.0 + 19 AS y1 FROM nation) WHERE {_BOX}",
+    "numeric_coerce": CTE + "SELECT nsi_id, TRY_CAST(right(occtype, 1) AS INT) AS digit, TRY_CAST(occtype AS DOUBLE) AS number FROM ns",
+    "fema_match_rates": CTE + "SELECT total, matched, overture_matched, floor(matched * 1000.0::DOUBLE / total + 0.5) / 10.0 AS pct FROM (SELECT (SELECT count(*) FROM fe) AS total, count(DISTINCT fema_id) AS matched, count(DISTINCT overture_id) AS overture_matched FROM fb)",
+    "nsi_match_rates": CTE + "SELECT *, floor(matched * 1000.0::DOUBLE / total + 0.5) / 10.0 AS pct FROM (SELECT (SELECT count(*) FROM ns) AS total, count(*) AS matched, count(*) FILTER (match_method = 'point_in_polygon') AS pip, count(*) FILTER (match_method = 'convex_hull') AS hull, count(*) FILTER (match_method = 'nearest_neighbor') AS nearest FROM nb)",
+    "gold_counts": CTE + "SELECT count(*) AS total, count(*) FILTER (source = 'overture') AS overture, count(*) FILTER (source = 'fema_only') AS fema_only, count(*) FILTER (overture_id IS NOT NULL AND fema_id IS NOT NULL) AS matched, count(*) FILTER (has_nsi_match) AS with_nsi, count(geometry) AS with_geometry, count(general_occupancy) AS with_occupancy FROM gb",
+    "point_pick": CTE + "SELECT layer, id, place FROM (SELECT *, row_number() OVER (PARTITION BY place ORDER BY z DESC, id) AS r FROM (SELECT q.place, layer, id, z FROM (VALUES ('17.0 1.0', 17.0, 1.0), ('7.5 0.5', 7.5, 0.5), ('29.5 29.5', 29.5, 29.5)) AS q(place, x, y) JOIN (SELECT 'overture' AS layer, overture_id AS id, 10 AS z, x0, y0, x1, y1, notch FROM ov UNION ALL SELECT 'fema', fema_id, 11, x0, y0, x1, y1, false FROM fe) g ON x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1 AND NOT (notch AND x > x0 + 2 AND x < x0 + 6 AND y > y0 + 2))) WHERE r = 1",
+    "confidence_colours": CTE + f"SELECT nsi_id, CASE WHEN v IS NOT NULL THEN floor(greatest(0.0::DOUBLE, least(1.0::DOUBLE, v)) * 20 + 0.5)::INT END AS step, {_colour_sql('v')} AS colour FROM (SELECT nsi_id, CASE WHEN nsi_id % 17 = 0 THEN NULL ELSE (nsi_id % 161 - 8) / 128.0::DOUBLE END AS v FROM ns)",
+    "names_text": CTE + "SELECT overture_id, CASE WHEN num_floors = 2 THEN 'no json' ELSE names END AS names, CASE WHEN num_floors <> 2 THEN 'Building ' || k END AS primary_name FROM ov",
+    "tile_counts": CTE + f"SELECT z, x, y, count(*) AS n FROM ({' UNION ALL '.join(_tile_sql(z) for z in (0, 4, 9))}) GROUP BY ALL",
+    "vector_tiles": CTE + f"SELECT z, x, y, count(*) AS n FROM ({_tile_sql(12)}) GROUP BY ALL",
 }

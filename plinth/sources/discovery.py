@@ -16,23 +16,8 @@ def latest_release(listing: DataFrame, column: str = "xml") -> DataFrame:
     return listing.select(F.explode(release_names(F.col(column))).alias("release")).agg(F.max("release").alias("release"))
 
 
-def index_links(pages: DataFrame, html: str, pattern: str) -> DataFrame:
-    """key, url: links in order of appearance whose target has ``pattern``'s first group; of one key the last link wins."""
-    links = pages.select(F.posexplode(F.regexp_extract_all(html, F.lit(r'href="([^"]*)"'), F.lit(1))).alias("place", "url"))
+def index_links(pages: DataFrame, html: str, pattern: str, order: str) -> DataFrame:
+    """key, url: links whose target has ``pattern``'s first group, in order of pages (by the column ``order``) and of appearance; of one key the last link wins."""
+    links = pages.select(F.col(order).alias("page"), F.posexplode(F.regexp_extract_all(html, F.lit(r'href="([^"]*)"'), F.lit(1))).alias("place", "url"))
     keyed = links.withColumn("key", F.regexp_extract("url", pattern, 1)).filter("key <> ''")
-    return keyed.groupBy("key").agg(F.max_by("url", "place").alias("url"))
-
-
-def latest_query(spark: SparkSession, d: str) -> DataFrame:
-    pages = spark.read.parquet(f"{d}/pages.parquet")
-    return pages.select(F.regexp_extract("url", "^https?://([^/]+)", 1).alias("host"), F.regexp_replace("url", "/+$", "").alias("url")).groupBy("host").agg(F.max("url").alias("latest"))
-
-
-def index_query(spark: SparkSession, d: str) -> DataFrame:
-    pages = spark.read.parquet(f"{d}/pages.parquet")
-    links = pages.select("page_id", F.explode(F.regexp_extract_all("html", F.lit(r'href="([^"]*)"'), F.lit(1))).alias("url"))
-    return links.groupBy("page_id").agg(F.count("*").alias("n_links"), F.max("url").alias("last_url"))
-
-
-LATEST_SQL = "SELECT regexp_extract(url, '^https?://([^/]+)', 1) AS host, max(regexp_replace(url, '/+$', '')) AS latest FROM pages GROUP BY 1"
-INDEX_SQL = "SELECT page_id, count(*) AS n_links, max(url) AS last_url FROM (SELECT page_id, unnest(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1)) AS url FROM pages) GROUP BY page_id"
+    return keyed.groupBy("key").agg(F.max_by("url", F.struct("page", "place")).alias("url"))
