@@ -207,28 +207,6 @@ def test_quality(docs, rows):
     assert "Same line" not in found[20].clean_text and found[20].kept and not found[3].kept
 
 
-def test_licences(docs):
-    assert {(r.doc_id, r.licence) for r in licences.find_licences(docs).collect()} == {(12, "MIT"), (13, "CC-BY-NC-4.0")}
-
-
-def test_licence_pruning_loses_nothing(spark):
-    r, units = random.Random(5), []
-    for name, t in licences.TEMPLATES * 8:
-        w = t.split()
-        for _ in range(r.randint(0, max(1, len(w) // 6))):
-            r.choice([lambda w=w: w.insert(r.randint(0, len(w)), r.choice(["zebra", "quux", "the"])), lambda w=w: w.pop(r.randrange(len(w)))])()
-        units.append(" ".join(w))
-    units += [" ".join(["licensed under the mit license"] * 200), "zebra quux " * 500, " ".join(t for _, t in licences.TEMPLATES)]
-    expected = set()
-    for i, u in enumerate(units):
-        a = set(licences.bigrams_of(u))
-        scores = [(-2 * len(a & set(b)) / (len(a) + len(b)), name) for name, b in ((n, licences.bigrams_of(t)) for n, t in licences.TEMPLATES)]
-        if a and -min(scores)[0] >= licences.LEAST:
-            expected.add((i, min(scores)[1], round(-min(scores)[0], 9)))
-    made = licences.find_licences(spark.createDataFrame(list(enumerate(units)), "doc_id long, text string")).collect()
-    assert {(x.doc_id, x.licence, round(x.best_dice, 9)) for x in made} == expected and len(expected) > 60
-
-
 def test_decontamination(spark, docs, rows):
     bench = spark.createDataFrame([(1, rows[1]), (2, None), (3, "short")], "item_id long, text string")
     hits = {(r.doc_id, r.item_id): r.edits for r in decontamination.contaminated(docs, bench).collect()}
