@@ -34,8 +34,18 @@ def _unmatched(spark: SparkSession, d: str) -> DataFrame:
     return bridges.nsi_unmatched(fx.points(spark, d), _nsi(spark, d))
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """A layer, written once for all that read it."""
+    path = storage.scratch(df.sparkSession, name)
+    sinks.write_parquet(df, path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _gold(spark: SparkSession, d: str) -> DataFrame:
-    return gold.produce(fx.overture(spark, d), fx.fema(spark, d), _bridge(spark, d), _nsi(spark, d), _nsi_fema(spark, d))
+    """As the flows do it: sources, then crosswalks, then the table, each from what was written before."""
+    o, f, n = _written(fx.overture(spark, d), "overture"), _written(fx.fema(spark, d), "fema"), fx.points(spark, d)
+    b, nb, nf = _written(bridges.fema_bridge(o, f, cell=CELL), "fema_bridge"), _written(bridges.nsi_bridge(n, o, REACH, CELL), "nsi_bridge"), _written(bridges.nsi_fema_bridge(n, f, CELL), "nsi_fema_bridge")
+    return gold.produce(o, f, b, nb, nf)
 
 
 def _sums(df: DataFrame) -> DataFrame:
