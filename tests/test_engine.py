@@ -114,7 +114,9 @@ def test_pushed_to_the_reader(spark, tmp_path):
     o = spark.range(10).selectExpr("id", "named_struct('xmin', id * 1.0D, 'ymin', 0.0D, 'xmax', id + 0.5D, 'ymax', 1.0D) AS bbox", "id AS unused")
     sinks.write_parquet(o, str(tmp_path / "x"))
     read = files.parquet(spark, str(tmp_path / "x"), ["id"], (2.2, 0.0, 4.0, 1.0))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     plan = read._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "LessThanOrEqual(bbox.xmin,4.0)" in plan and "unused" not in plan.split("ReadSchema")[1]
     assert sorted(r.id for r in read.collect()) == [2, 3, 4]
 
