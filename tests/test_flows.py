@@ -115,7 +115,7 @@ def test_run_by_command_line(spark, place, capsys):
     assert cli.main(["report", "--config", str(place / "config.yaml")]) == 0
     told = {k: v for line in capsys.readouterr().out.splitlines() if line.startswith("{") for k, v in json.loads(line).items()}
     assert told["fema"] == {"total": 60, "matched": 54, "overture_matched": 54, "pct": 90.0} and told["nsi"]["pct"] == 75.0 and told["gold"]["total"] == 66
-    assert cli.main(["process", "--config", str(place / "config.yaml")]) == 0  # overwrites
+    assert cli.main(["bridge", "--config", str(place / "config.yaml")]) == 0  # overwrites
 
 
 def test_missing_inputs(spark, place, tmp_path, caplog):
