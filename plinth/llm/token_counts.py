@@ -30,7 +30,7 @@ from plinth.llm.tokens import vocabulary_path
 CHUNK, LOOK = 512, 32
 SPACE = "▁"
 #: Chunks that are read in step; the exit state of a text that goes on is where the next ones start.
-TOGETHER = 2048
+TOGETHER = 8192
 #: A worker forgets all it has compiled beyond so many transitions.
 TRANSITIONS = 500_000
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
