@@ -153,6 +153,8 @@ def st_transform(geometry: Column, source: int, target: int) -> Column:
     def moved(column: pa.Array) -> pa.Array:
         shapes = g.Shapes.from_wkb(column)
         shapes.x, shapes.y = g.project(shapes.x, shapes.y, source, target)
+        if (shapes.kind == g.POINT).all() and len(shapes.x) == len(shapes):
+            return g.points_wkb(shapes.x, shapes.y)
         out = []
         for k, kind in enumerate(shapes.kind.tolist()):
             at = shapes.ring[shapes.first[k]]

@@ -16,6 +16,7 @@ from plinth import cli
 from plinth.flows import steps
 from plinth.functions import geometry as g
 from plinth.operators import tiles, views
+from plinth.plans import catalogue
 from plinth.sources import config, discovery, files, sinks
 
 AREA = [[145.0, 15.0], [145.02, 15.0], [145.02, 15.02], [145.0, 15.02], [145.0, 15.0]]
@@ -280,3 +281,19 @@ def test_stream_is_bridged_as_a_batch(spark, tmp_path):
     query.awaitTermination(300)
     made, want = spark.read.parquet(str(tmp_path / "out")).drop("batch"), nsi_bridge(points, o, fx.REACH, fx.CELL)
     assert made.exceptAll(want).count() == 0 and want.exceptAll(made).count() == 0 and want.count() > 50
+
+
+@pytest.mark.parametrize("name", ["reprojection"])
+def test_beyond_the_poles(spark, tmp_path, name):
+    """Customers so many that the fixture's latitudes go round, in the SQL's terms."""
+    import duckdb
+
+    spark.range(4000).selectExpr("id AS o_orderkey", "id * 337 AS o_custkey", "id / 8 AS o_totalprice").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.range(3).selectExpr("id AS p_partkey", "CAST(id AS INT) AS p_size").write.parquet(str(tmp_path / "part.parquet"))
+    con = duckdb.connect()
+    for t in ("orders", "part"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    found = catalogue.QUERIES[name](spark, str(tmp_path))
+    key = lambda rows: sorted((tuple(map(str, r)) for r in rows))
+    expected = con.execute(f"SELECT {', '.join(found.columns)} FROM ({catalogue.SQL[name]})").fetchall()
+    assert key(map(tuple, found.collect())) == key(expected) and len(expected) > 1000
