@@ -1,8 +1,8 @@
 """Vector tiles: which features each map tile shows, their encoding as MVT, and an archive of the tiles.
 
 A feature goes to every tile that its box meets. At zooms where a feature is smaller than a cell of a grid over the tile, one feature of each
-cell stays (the one with the least id), so that a tile of a whole country holds no more than its picture can show. Tiles are encoded by task, one
-tile at a time. Polygons aren't clipped: coordinates outside of a tile's extent are allowed.
+cell stays (the one with the least id), so that a tile of a whole country holds no more than its picture can show. Tiles are encoded by task, those
+of a batch together. Polygons aren't clipped: coordinates outside of a tile's extent are allowed.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 import gzip
 import json
 import struct
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ GRID = 256
 
 def features(df: DataFrame, min_zoom: int, max_zoom: int, grid: int | None = GRID) -> DataFrame:
     """df (id, geometry in degrees as WKB, and properties) with z, x, y for each tile that shows the row."""
-    boxed = df.withColumn("_b", spatial.st_extent("geometry")).filter("_b IS NOT NULL")
+    boxed = df.withColumn("_b", spatial.st_extent("geometry")).filter("_b.xmin IS NOT NULL AND _b.ymin IS NOT NULL")
     ranges = []
     for z in range(min_zoom, max_zoom + 1):
         x0, y1 = tile_of(F.col("_b.xmin"), F.col("_b.ymin"), z)
@@ -99,48 +100,82 @@ def _commands(shapes: g.Shapes, row: int, x: np.ndarray, y: np.ndarray) -> tuple
 
 def tile_bytes(rows: pa.Table, layer: str, z: int, x: int, y: int, extent: int = EXTENT) -> bytes:
     """The MVT of a tile; numeric ids become feature ids, all other columns are properties."""
+    n = rows.num_rows
+    return tiles_bytes(rows, layer, *(np.full(n, v, np.int64) for v in (z, x, y)), np.array([0, n]), extent)[0]
+
+
+def tiles_bytes(rows: pa.Table, layer: str, z: np.ndarray, x: np.ndarray, y: np.ndarray, first: np.ndarray, extent: int = EXTENT) -> list[bytes]:
+    """``tile_bytes`` of several tiles: z, x, y of each row; a tile's rows begin at its place of ``first``, which has one more entry at the end."""
     shapes = g.Shapes.from_wkb(rows.column("geometry"))
-    n = 1 << z
+    at = shapes.vertices()
+    n = (1 << z)[at]
     with np.errstate(divide="ignore", invalid="ignore"):
         mx = (shapes.x + 180.0) / 360.0 * n
-        lat = np.radians(np.clip(shapes.y, -85.0511287798066, 85.0511287798066))
-        my = (1.0 - np.log(np.tan(lat) + 1.0 / np.cos(lat)) / np.pi) / 2.0 * n
-    px, py = np.floor((mx - x) * extent).astype(np.int64), np.floor((my - y) * extent).astype(np.int64)
+        lat = np.radians(shapes.y)
+        up = np.tan(lat) + 1.0 / np.cos(lat)
+        my = np.clip(np.where(up > 0, (1.0 - np.log(up) / np.pi) / 2.0 * n, n), 0, n)  # as views.tile_of
+    px, py = np.floor((mx - x[at]) * extent).astype(np.int64), np.floor((my - y[at]) * extent).astype(np.int64)
     names = [c for c in rows.column_names if c not in ("geometry", "z", "x", "y")]
     numeric = pa.types.is_integer(rows.schema.field("id").type)
     if numeric:
         names.remove("id")
-    values: dict = {}
-    made = []
-    columns = {c: rows.column(c).to_pylist() for c in names}
+    columns = [(k, rows.column(c).to_pylist()) for k, c in enumerate(names)]
     ids = rows.column("id").to_pylist()
-    for row in range(len(shapes)):
-        if shapes.first[row + 1] == shapes.first[row]:
-            continue
-        kind, commands = _commands(shapes, row, px, py)
-        if not commands:
-            continue
-        tags = []
-        for k, c in enumerate(names):
-            v = columns[c][row]
-            if v is not None:
-                tags += [k, values.setdefault((type(v), v), len(values))]
-        feature = (_varint(1 << 3) + _varint(ids[row])) if numeric and ids[row] is not None and ids[row] >= 0 else b""
-        feature += _field(2, b"".join(map(_varint, tags))) if tags else b""
-        made.append(_field(2, feature + _varint(3 << 3) + _varint(kind) + _field(4, b"".join(map(_varint, commands)))))
-    body = _field(1, layer.encode()) + b"".join(made) + b"".join(_field(3, c.encode()) for c in names) + b"".join(_field(4, _value(v)) for _, v in values)
-    return _field(3, body + _varint(5 << 3) + _varint(extent) + _varint(15 << 3) + _varint(2))
+    empty = (np.diff(shapes.first) == 0).tolist()
+    head, tail = _field(1, layer.encode()), _varint(5 << 3) + _varint(extent) + _varint(15 << 3) + _varint(2)
+    keys, out = b"".join(_field(3, c.encode()) for c in names), []
+    for lo, hi in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        values: dict = {}
+        made = []
+        for row in range(lo, hi):
+            if empty[row]:
+                continue
+            kind, commands = _commands(shapes, row, px, py)
+            if not commands:
+                continue
+            tags = []
+            for k, column in columns:
+                v = column[row]
+                if v is not None:
+                    tags += [k, values.setdefault((type(v), v), len(values))]
+            feature = (_varint(1 << 3) + _varint(ids[row])) if numeric and ids[row] is not None and ids[row] >= 0 else b""
+            feature += _field(2, b"".join(map(_varint, tags))) if tags else b""
+            made.append(_field(2, feature + _varint(3 << 3) + _varint(kind) + _field(4, b"".join(map(_varint, commands)))))
+        out.append(_field(3, head + b"".join(made) + keys + b"".join(_field(4, _value(v)) for _, v in values) + tail))
+    return out
 
 
 def encode(tiled: DataFrame, layer: str, extent: int = EXTENT) -> DataFrame:
-    """(z, x, y, tile) of features with z, x, y."""
-
-    def work(key: tuple, rows: pa.Table) -> pa.Table:
-        z, x, y = (k.as_py() for k in key)
-        ordered = rows.sort_by("id")
-        return pa.table({"z": pa.array([z], pa.int32()), "x": pa.array([x], pa.int32()), "y": pa.array([y], pa.int32()), "tile": pa.array([tile_bytes(ordered, layer, z, x, y, extent)], pa.binary())})
-
-    return tiled.groupBy("z", "x", "y").applyInArrow(work, "z int, x int, y int, tile binary")
+    """(z, x, y, tile) of features with z, x, y. A batch's tiles are encoded together; its last one waits for the rows that may follow."""
+
+    def made(rows: pa.Table) -> pa.RecordBatch:
+        place = [rows.column(c).to_numpy().astype(np.int64) for c in ("z", "x", "y")]
+        new = np.any([c[1:] != c[:-1] for c in place], axis=0)
+        first = np.concatenate([[0], np.flatnonzero(new) + 1, [rows.num_rows]])
+        done = tiles_bytes(rows, layer, *place, first, extent)
+        return pa.RecordBatch.from_arrays([*(pa.array(c[first[:-1]], pa.int32()) for c in place), pa.array(done, pa.binary())], names=["z", "x", "y", "tile"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            place = [batch.column(c).to_numpy() for c in ("z", "x", "y")]
+            other = np.flatnonzero(np.any([c != c[-1] for c in place], axis=0))
+            split = int(other[-1]) + 1 if len(other) else 0
+            if not split and held and all(h.column(c)[0] == batch.column(c)[0] for h in held[-1:] for c in ("z", "x", "y")):
+                held.append(batch)
+                continue
+            whole = [*held, batch.slice(0, split)] if split else held
+            if whole:
+                yield made(pa.Table.from_batches(whole))
+            held = [batch.slice(split)]
+        if held:
+            yield made(pa.Table.from_batches(held))
+
+    keys = ["z", "x", "y"]
+    laid = tiled.repartition(*keys).sortWithinPartitions(*keys, F.asc_nulls_last("id"))
+    return laid.mapInArrow(work, "z int, x int, y int, tile binary")
 
 
 def fields(data: bytes):

@@ -283,7 +283,7 @@ def test_stream_is_bridged_as_a_batch(spark, tmp_path):
     assert made.exceptAll(want).count() == 0 and want.exceptAll(made).count() == 0 and want.count() > 50
 
 
-@pytest.mark.parametrize("name", ["reprojection", "tile_counts"])
+@pytest.mark.parametrize("name", ["reprojection", "tile_counts", "vector_tiles"])
 def test_beyond_the_poles(spark, tmp_path, name):
     """Customers so many that the fixture's latitudes go round, in the SQL's terms."""
     import duckdb
@@ -297,3 +297,14 @@ def test_beyond_the_poles(spark, tmp_path, name):
     key = lambda rows: sorted((tuple(map(str, r)) for r in rows))
     expected = con.execute(f"SELECT {', '.join(found.columns)} FROM ({catalogue.SQL[name]})").fetchall()
     assert key(map(tuple, found.collect())) == key(expected) and len(expected) > 1000
+
+
+def test_tiles_across_batches(spark):
+    p = spark.range(3000).selectExpr("id", "12 AS z", "CAST(id % 7 * (id % 2) AS INT) AS x", "0 AS y", "id % 5 AS n").withColumn("geometry", F.lit(g.point_wkb(-170, 85)))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    made = tiles.encode(p, "points").collect()
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(made) == 7
+    for r in made:
+        rows = p.filter(F.col("x") == r.x).orderBy("id").toArrow()
+        assert bytes(r.tile) == tiles.tile_bytes(rows, "points", r.z, r.x, r.y)
