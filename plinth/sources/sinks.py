@@ -48,11 +48,79 @@ def write_parquet(df: DataFrame, path: str, order: list[str] | None = None, mode
     df.write.mode(mode).option("compression", "zstd").option("parquet.block.row.count.limit", str(ROW_GROUP)).parquet(path)
 
 
-def write_cells(df: DataFrame, path: str, coarse: Column, fine: Column, mode: str = "errorifexists", salts: int = 8) -> None:
-    """A folder for each coarse cell, rows in order of the fine cell; dense cells are dealt to ``salts`` tasks. The keys aren't in the files."""
-    keyed = df.withColumns({"cell_partition": coarse, "_fine": fine}).withColumn("_salt", F.pmod(F.xxhash64("_fine"), F.lit(salts)))
-    laid = keyed.repartition("cell_partition", "_salt").sortWithinPartitions("cell_partition", "_fine").drop("_fine", "_salt", "_coarse", "_sort")
-    laid.write.mode(mode).option("compression", "zstd").partitionBy("cell_partition").parquet(path)
+def _folder(value: str | None) -> str:
+    """A partition's folder, named as Spark does."""
+    return "cell_partition=" + ("".join(f"%{ord(c):02X}" if c < " " or c in "\"#%'*/:=?\\\x7f{[]^" else c for c in value) if value else "__HIVE_DEFAULT_PARTITION__")
+
+
+def write_cells(df: DataFrame, path: str, coarse: Column, fine: Column, mode: str = "errorifexists", together: int = ROW_GROUP) -> None:
+    """A folder for each coarse cell, rows in order of the fine cell. Cells are dealt whole, each to one task and file; only one of over ``together`` rows
+    is dealt, by its fine cells, to as many tasks as it fills. The keys aren't in the files.
+
+    Cells are many and small, and Spark's own writer takes some ten milliseconds for each file. A task writes under names of its own and then
+    renames, so one that runs twice leaves one file."""
+    spark = df.sparkSession
+    if storage.exists(spark, path):
+        if mode != "overwrite":
+            raise FileExistsError(f"{path} already exists")
+        storage.remove(spark, path)
+    keyed = df.withColumns({"cell_partition": coarse.cast("string"), "_fine": fine})
+    dense = keyed.groupBy("cell_partition").count().filter(F.col("count") > together).select(F.col("cell_partition").alias("_dense"), F.ceil(F.col("count") / together).cast("int").alias("_parts"))
+    salted = keyed.join(dense, F.col("cell_partition").eqNullSafe(F.col("_dense")), "left").withColumn("_salt", F.pmod(F.xxhash64("_fine"), F.coalesce("_parts", F.lit(1))))
+    laid = salted.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "cell_partition", "_salt").sortWithinPartitions("cell_partition", "_fine")
+    laid = laid.drop("_fine", "_salt", "_coarse", "_sort", "_dense", "_parts")
+    footer = {"org.apache.spark.sql.parquet.row.metadata": laid.drop("cell_partition").schema.json()}
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, root = arrow_fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (arrow_fs.LocalFileSystem(), path)
+        name, rows = f"part-{TaskContext.get().partitionId():06d}.zstd.parquet", 0
+        held: list[pa.RecordBatch] = []
+        out = cell = own = None
+
+        def flush(finish: bool) -> None:
+            nonlocal out, own
+            if held and (finish or sum(b.num_rows for b in held) >= ROW_GROUP):
+                t = pa.Table.from_batches(held)
+                held.clear()
+                if out is None:
+                    files.create_dir(f"{root}/{_folder(cell)}", recursive=True)
+                    own = f"{root}/{_folder(cell)}/_{uuid.uuid4().hex}"
+                    out = pq.ParquetWriter(own, t.schema, compression="zstd", filesystem=files)
+                out.write_table(t, row_group_size=ROW_GROUP)
+            if finish and out is not None:
+                out.close()
+                files.move(own, f"{root}/{_folder(cell)}/{name}")
+                out = None
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cells = batch.column("cell_partition").to_pylist()
+            rest = batch.drop_columns(["cell_partition"])
+            rest = rest.replace_schema_metadata({**(rest.schema.metadata or {}), **footer})
+            edges = [0, *(k for k in range(1, len(cells)) if cells[k] != cells[k - 1]), len(cells)]
+            for a, b in zip(edges, edges[1:], strict=False):
+                if cells[a] != cell:
+                    flush(True)
+                    cell = cells[a]
+                held.append(rest.slice(a, b - a))
+                flush(False)
+            rows += batch.num_rows
+        flush(True)
+        yield pa.RecordBatch.from_pylist([{"rows": rows}], schema=pa.schema([("rows", pa.int64())]))
+
+    laid.mapInArrow(write, "rows long").agg(F.sum("rows")).collect()
+
+
+def read_cells(spark: SparkSession, path: str) -> DataFrame:
+    """What ``write_cells`` wrote. Spark lists each folder in a task of its own, up to 10,000; here as many tasks as a shuffle has list them."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        return spark.read.parquet(path)
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
 def write_cells_of(df: DataFrame, path: str, partition_degrees: float, sort_degrees: float, mode: str = "errorifexists", geometry: str = "geometry") -> None:

@@ -308,3 +308,16 @@ def test_tiles_across_batches(spark):
     for r in made:
         rows = p.filter(F.col("x") == r.x).orderBy("id").toArrow()
         assert bytes(r.tile) == tiles.tile_bytes(rows, "points", r.z, r.x, r.y)
+
+
+def test_cells_are_whole_files(spark, tmp_path):
+    """A small cell is one file, a dense one as many as it fills; names that folders cannot have, nulls and column metadata come back."""
+    rows = spark.range(4000).selectExpr("id", "id % 100 AS fine", "CASE WHEN id < 2000 THEN 'a/b' WHEN id < 2300 THEN NULL ELSE concat('3_-', id % 50) END AS name")
+    sinks.write_cells(sinks.with_attribution(rows, "id", {"a": 1}), str(tmp_path / "c"), F.col("name"), F.col("fine"), together=1000)
+    files = [len(list(f.glob("*.parquet"))) for f in (tmp_path / "c").glob("cell_partition=*")]
+    assert len(files) == 52 and sum(n == 1 for n in files) == 51 and max(files) == 2
+    back = spark.read.parquet(str(tmp_path / "c"))
+    assert json.loads(back.schema["id"].metadata["attribution"]) == {"a": 1} and not [p for p in (tmp_path / "c").rglob("_*")]
+    assert back.filter("NOT name <=> cell_partition").count() == 0 and sorted(r.id for r in back.collect()) == list(range(4000))
+    sinks.write_cells(rows.limit(7), str(tmp_path / "c"), F.col("name"), F.col("fine"), mode="overwrite")
+    assert spark.read.parquet(str(tmp_path / "c")).count() == 7
