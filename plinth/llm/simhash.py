@@ -50,11 +50,14 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
+def fingerprints(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    raw, at = data.tobytes(), offsets.tolist()
+    return np.fromiter((fingerprint(raw[a:b]) for a, b in zip(at, at[1:], strict=False)), np.uint64, len(at) - 1)
+
+
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, data, offsets in runs(batches):
-        raw, at = data.tobytes(), offsets.tolist()
-        made = np.fromiter((fingerprint(raw[a:b]) for a, b in zip(at, at[1:], strict=False)), np.uint64, len(at) - 1)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made.view(np.int64))], names=["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fingerprints(data, offsets).view(np.int64))], names=["doc_id", "fp"])
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

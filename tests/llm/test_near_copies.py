@@ -98,3 +98,55 @@ def test_shared_hashes_take_little_memory():
     twice = np.union1d(value[held > 1], np.concatenate([p[s] for p, s in zip(pages, several, strict=True)]))
     assert all(np.array_equal(found[k], p[np.isin(p, twice)]) for k, p in enumerate(pages))
     assert peak < 4 * sum(map(len, hashes))
+
+
+def test_operator_8_links_the_nearest(spark, monkeypatch):
+    """Without the comparison of sets, operator 8's links of near copies are there, those of texts less similar are not; with it, all near copies."""
+    import numpy as np
+
+    from plinth.llm.simhash import fingerprint
+
+    r = random.Random(5)
+    prose = lambda n: ["".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(n)]
+    refrain, made = prose(21) * 30, []
+    made += [" ".join([*refrain, *prose(40)]) for _ in range(3)]  # equal fingerprints, but few shingles in common
+    for n in (40, 150, 300, 300, 300, 300):
+        base = prose(n)
+        made += [" ".join(base), " ".join(base).upper() + " END"]
+        for _ in range(4):
+            w = list(base)
+            w[r.randrange(n)] = "other"
+            made.append(" ".join(w))
+    sets, prints = [shingle_set(t) for t in made], [fingerprint(t.encode()) for t in made]
+    near = lambda a, b: 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])
+    linked = [[b for b in range(len(made)) if (prints[a] ^ prints[b]).bit_count() <= 3] for a in range(len(made))]
+    label = list(range(len(made)))
+    while (new := [min(label[b] for b in linked[a] if near(a, b)) for a in range(len(made))]) != label:
+        label = new
+    assert linked[0][:3] == [0, 1, 2] and label[:3] == [0, 1, 2] and len(set(label)) < len(made) - 5
+    docs = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string").repartition(3)
+    whole = {x.doc_id: x.component_id for x in near_copies.near_copies(docs).collect()}
+    assert whole == brute(list(enumerate(made))) and list(whole.values()) != label
+    monkeypatch.setattr(near_copies, "group_links", lambda *a: (np.zeros(0, np.int64), np.zeros(0, np.int64)))
+    assert {x.doc_id: x.component_id for x in near_copies.near_copies(docs).collect()} == dict(enumerate(label))
+
+
+def test_known_links_are_not_compared_again():
+    """Sets that are connected before count as one: what is similar to one of them is linked once."""
+    import numpy as np
+
+    each = [np.arange(k, k + 40, dtype=np.uint64) for k in (0, 2, 4, 100, 6)]
+    lead, apart = np.zeros(5, np.int64), np.arange(5)
+    links = lambda known: sorted(zip(*(x.tolist() for x in near_copies.group_links(each, lead, (4, 5), np.array(known))), strict=True))
+    assert links(apart) == [(0, 1), (0, 2), (2, 4)]
+    assert links([0, 0, 0, 3, 0]) == []
+    assert links([0, 1, 2, 0, 1]) == [(0, 1), (0, 2)]
+
+
+def test_repeated_rows_are_searched_once():
+    import pyarrow as pa
+
+    key, other = b"k" * 16, b"o" * 16
+    rows = pa.table({"doc_id": [1, 1, 2, 3, 3, 3], "page": [0] * 6, "key": pa.array([key, key, key, other, other, other], pa.binary()), "text": ["a"] * 6})
+    first = pa.RecordBatch.from_pylist([{"page": 0, "kind": near_copies.repeats.FIRST, "doc_id": d, "n": 3, "payload": k} for d, k in ((1, key), (3, other))], schema=near_copies.ANSWER)
+    assert near_copies._page(rows, pa.Table.from_batches([first])).first.tolist() == [True, False, False, True, False, False]
